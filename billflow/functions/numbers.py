@@ -39,60 +39,42 @@ def number_or_zero(text: Column) -> Column:
     return F.coalesce(F.when(~F.isnan(value), value), F.lit(0.0))
 
 
-def _exponent(shown: Column) -> Column:
-    return F.split_part(shown, F.lit("E"), F.lit(2)).try_cast("int")
-
-
-def _mantissa(shown: Column) -> Column:
-    """Mantissa without a lone trailing ``.0``."""
-    return F.regexp_replace(F.split_part(shown, F.lit("E"), F.lit(1)), r"\.0\z", "")
-
-
-def _without_exponent(shown: Column, exponent: Column) -> Column:
-    """``1.25E-5`` -> ``0.0000125`` and ``1.25E9`` -> ``1250000000`` (no trailing ``.0``)."""
-    mantissa = _mantissa(shown)
-    sign = F.when(mantissa.startswith("-"), "-").otherwise("")
-    digits = F.regexp_replace(mantissa, r"[-.]", "")
-    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
-    whole, frac = F.substring(digits, F.lit(1), exponent + 1), F.substring(
-        digits, exponent + 2, F.length(digits))
-    large = F.concat(sign, F.rpad(whole, exponent + 1, F.lit("0")),
-                     F.when(frac != "", F.concat(F.lit("."), frac)).otherwise(""))
-    return F.when(exponent < 0, small).otherwise(large)
+def _plain(value: Column) -> Column:
+    """The shortest digits of a double without an exponent or trailing zeros."""
+    shown = value.cast("string")
+    small = shown.try_cast("decimal(38,30)").cast("string")
+    large = shown.try_cast("decimal(38,10)").cast("string")
+    return F.regexp_replace(F.when(F.abs(value) < 1, small).otherwise(large), r"\.?0+\z", "")
 
 
-def _with_exponent(shown: Column, exponent: Column, pad: int) -> Column:
-    size = F.abs(exponent).cast("string")
-    if pad:
-        size = F.when(F.length(size) < pad, F.lpad(size, pad, "0")).otherwise(size)
-    return F.concat(_mantissa(shown), F.lit("e"),
-                    F.when(exponent < 0, "-").otherwise("+"), size)
+def _scientific(value: Column) -> Column:
+    """``1.0E16`` as ``1e+16``."""
+    shown = F.regexp_replace(value.cast("string"), r"(\.0)?E(?=\d)", "e+")
+    return F.regexp_replace(shown, r"(\.0)?E-", "e-")
 
 
 def py_float_text(value: Column) -> Column:
     """Text of a double as Python prints a float: ``525.0``, ``1e+16``, ``1.5e-05``."""
-    shown = value.cast("string")
-    exponent = _exponent(shown)
-    plain = _without_exponent(shown, exponent)
+    size = F.abs(value)
     return (
-        F.when(F.isnan(value), "nan")
-        .when(shown == "Infinity", "inf")
-        .when(shown == "-Infinity", "-inf")
-        .when(~shown.contains("E"), shown)
-        .when((exponent >= 16) | (exponent < -4), _with_exponent(shown, exponent, 2))
-        .when(plain.contains("."), plain)
-        .otherwise(F.concat(plain, F.lit(".0")))
+        F.when((value == 0) | ((size >= 1e-3) & (size < 1e7)), value.cast("string"))
+        .when(F.isnan(value), "nan")
+        .when(size == float("inf"), F.when(value > 0, "inf").otherwise("-inf"))
+        .when((size >= 1e16) | (size < 1e-4), F.regexp_replace(
+            _scientific(value), r"e([+-])(\d)\z", "e$10$2"))
+        .when(size < 1, _plain(value))
+        .otherwise(F.regexp_replace(_plain(value), r"\A(-?\d+)\z", "$1.0"))
     )
 
 
 def js_number_text(value: Column) -> Column:
     """Text of a double as JavaScript prints a number: ``525``, ``1e+21``, ``1e-7``."""
-    shown = value.cast("string")
-    exponent = _exponent(shown)
+    size = F.abs(value)
     return (
-        F.when(value == 0, "0")
-        .when(F.isnan(value) | shown.contains("Infinity"), shown)
-        .when(~shown.contains("E"), F.regexp_replace(shown, r"\.0\z", ""))
-        .when((exponent >= 21) | (exponent < -6), _with_exponent(shown, exponent, 0))
-        .otherwise(_without_exponent(shown, exponent))
+        F.when((size >= 1e-3) & (size < 1e7),
+               F.regexp_replace(value.cast("string"), r"\.0\z", ""))
+        .when(value == 0, "0")
+        .when(F.isnan(value) | (size == float("inf")), value.cast("string"))
+        .when((size >= 1e21) | (size < 1e-6), _scientific(value))
+        .otherwise(_plain(value))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from billflow.functions import match as M
 from billflow.functions.text import bill_sequence
 from billflow.functions.variants import parse_json
+from billflow.operators.once import computed_once
 from billflow.operators.vendor_match import match_vendors
 from billflow.schemas import FIELDS, TRUTH
 from billflow.sources.payloads import extracted_fields
@@ -16,10 +17,13 @@ from billflow.sources.payloads import extracted_fields
 
 def parse_attempts(attempts: DataFrame, payload: str = "payload") -> DataFrame:
     """(file, model, error, extracted): a payload that is no JSON becomes that row's error."""
-    doc = parse_json(F.col(payload))
+    parsed = computed_once(attempts.select("file", "model", "error", payload),
+                           _doc=parse_json(F.col(payload)))
+    doc = F.col("_doc")
     failed = F.coalesce(F.col("error"), F.when(doc.isNull(), "payload is not JSON"))
-    return attempts.select("file", "model", failed.alias("error"),
-                           F.when(failed.isNull(), extracted_fields(doc)).alias("extracted"))
+    return computed_once(
+        parsed, error=failed, extracted=F.when(failed.isNull(), extracted_fields(doc))
+    ).select("file", "model", "error", "extracted")
 
 
 def union_models(outputs: Mapping[str, DataFrame]) -> DataFrame:
@@ -61,9 +65,9 @@ def evaluate(joined: DataFrame, phonetic: bool = True, profile: str = "code",
     }
     breakdown = F.struct(*[fields[f].alias(f) for f in FIELDS])
     gate = F.col("error").isNull() & t.isNotNull()
-    return (matched.withColumn("_breakdown", F.when(gate, breakdown))
-            .withColumn("evaluation", F.when(gate, document_score(F.col("_breakdown"))))
-            .drop("vendor_match", "_breakdown"))
+    compared = computed_once(matched, _breakdown=F.when(gate, breakdown))
+    score = F.when(F.col("_breakdown").isNotNull(), document_score(F.col("_breakdown")))
+    return computed_once(compared, evaluation=score).drop("vendor_match", "_breakdown")
 
 
 def document_score(breakdown: Column) -> Column:

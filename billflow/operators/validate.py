@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from billflow.functions import variants as V
 from billflow.functions.numbers import WHOLE_NUMBER_OR_WORD, whole_number
+from billflow.operators.once import computed_once
 from billflow.schemas import (
-    AMOUNT_TYPE, INVOICE, LINE_ITEM, MAX_INVOICE_NUMBER, MAX_VENDOR_NAME, QUANTITY_TYPE)
+    AMOUNT_TYPE, INVOICE, MAX_INVOICE_NUMBER, MAX_VENDOR_NAME, QUANTITY_TYPE)
 
 ERRORS = "array<struct<loc:string,type:string>>"
 
@@ -34,92 +35,85 @@ def _error(loc: Column, error_type: Column) -> Column:
                   F.struct(loc.alias("loc"), error_type.alias("type")))
 
 
-def _text_problem(value: Column, required: bool, nullable: bool) -> Column:
-    kind = V.kind(value)
-    problem = F.when(value.isNull(), F.lit("missing") if required else F.lit(None))
-    if nullable:
-        problem = problem.when(kind == "VOID", F.lit(None))
-    return problem.when(kind != "STRING", "string_type")
+def _read(parent: Column, rules) -> Column:
+    """Kind, text and number of each named member, so that every value is looked up once."""
+    return F.struct(*[F.struct(
+        V.kind(V.member(parent, f"$.{name}")).alias("kind"),
+        F.try_variant_get(parent, f"$.{name}", "string").alias("text"),
+        *([F.try_variant_get(parent, f"$.{name}", "double").alias("number")]
+          if kind == "number" else [])).alias(name) for name, kind, *_ in rules])
 
 
-def _number_problem(value: Column, required: bool, nullable: bool, strict: bool) -> Column:
-    kind = V.kind(value)
-    number = V.is_number(kind) if strict else V.is_number(kind) | (kind == "BOOLEAN")
-    problem = F.when(value.isNull(), F.lit("missing") if required else F.lit(None))
-    if nullable:
-        problem = problem.when(kind == "VOID", F.lit(None))
-    problem = problem.when(number, F.lit(None))
-    if not strict:
-        problem = problem.when(
-            kind == "STRING",
-            F.when(~V.as_text(value).rlike(WHOLE_NUMBER_OR_WORD), "float_parsing"))
-    return problem.otherwise("float_type")
+def read_document(documents: DataFrame, doc: str) -> DataFrame:
+    """Adds ``_header``, ``_items`` (null unless a list) and ``_listed`` (its kind) of a VARIANT."""
+    value = F.col(doc)
 
+    def read_item(item: Column) -> Column:
+        return F.struct(V.is_object(item).alias("is_object"),
+                        _read(item, ITEM_RULES).alias("fields"))
 
-def number_value(value: Column) -> Column:
-    return F.when(V.kind(value) == "STRING", whole_number(V.as_text(value))).otherwise(
-        F.try_variant_get(value, "$", "double"))
+    items = F.try_variant_get(value, "$.line_items", "array<variant>")
+    return computed_once(
+        documents, _header=_read(value, HEADER_RULES), _items=F.transform(items, read_item),
+        _listed=V.member(value, "$.line_items").isNotNull())
 
 
-def text_value(value: Column) -> Column:
-    return F.when(V.kind(value) == "STRING", V.as_text(value))
+def _problem(field: Column, kind: str, required: bool, nullable: bool, strict: bool) -> Column:
+    found = field["kind"]
+    problem = F.when(found.isNull(), F.lit("missing") if required else F.lit(None))
+    if nullable:
+        problem = problem.when(found == "VOID", F.lit(None))
+    if kind == "text":
+        return problem.when(found != "STRING", "string_type")
+    number = V.is_number(found) if strict else V.is_number(found) | (found == "BOOLEAN")
+    problem = problem.when(number, F.lit(None))
+    if not strict:
+        problem = problem.when(found == "STRING", F.when(
+            ~field["text"].rlike(WHOLE_NUMBER_OR_WORD), "float_parsing"))
+    return problem.otherwise("float_type")
 
 
-def _problem(value: Column, kind: str, required: bool, nullable: bool, strict: bool) -> Column:
+def _value(field: Column, kind: str) -> Column:
+    text = field["kind"] == "STRING"
     if kind == "text":
-        return _text_problem(value, required, nullable)
-    return _number_problem(value, required, nullable, strict)
+        return F.when(text, field["text"])
+    return F.when(text, whole_number(field["text"])).otherwise(field["number"])
 
 
-def header_errors(doc: Column, strict: bool = False) -> Column:
-    checks = [
-        _error(F.lit(name), _problem(V.member(doc, f"$.{name}"), kind, required,
-                                     not required, strict))
-        for name, kind, required in HEADER_RULES]
+def header_errors(header: Column, strict: bool = False) -> Column:
+    checks = [_error(F.lit(name), _problem(header[name], kind, required, not required, strict))
+              for name, kind, required in HEADER_RULES]
     return F.filter(F.array(*checks), lambda e: e.isNotNull()).cast(ERRORS)
 
 
-def item_list(doc: Column) -> Column:
-    return F.try_variant_get(doc, "$.line_items", "array<variant>")
-
-
-def _item_errors(item: Column, index: Column, strict: bool) -> Column:
-    at = F.concat(F.lit("line_items."), index.cast("string"))
-    checks = [
-        _error(F.concat(at, F.lit(f".{name}")),
-               _problem(V.member(item, f"$.{name}"), kind, required, nullable, strict))
-        for name, kind, required, nullable in ITEM_RULES]
-    return F.when(V.is_object(item), F.filter(F.array(*checks), lambda e: e.isNotNull())) \
-        .otherwise(F.array(_error(at, F.lit("model_type"))))
-
+def line_item_errors(items: Column, listed: Column, strict: bool = False) -> Column:
+    def of_item(item: Column, i: Column) -> Column:
+        at = F.concat(F.lit("line_items."), i.cast("string"))
+        checks = [_error(F.concat(at, F.lit(f".{name}")), _problem(
+            item["fields"][name], kind, required, nullable, strict))
+            for name, kind, required, nullable in ITEM_RULES]
+        return F.when(item["is_object"], F.array(*checks)).otherwise(
+            F.array(_error(at, F.lit("model_type"))))
 
-def line_item_errors(doc: Column, strict: bool = False) -> Column:
-    items = item_list(doc)
-    listed = V.member(doc, "$.line_items")
-    return (
-        F.when(listed.isNull(), F.array())
-        .when(items.isNull(), F.array(_error(F.lit("line_items"), F.lit("list_type"))))
-        .otherwise(F.flatten(F.transform(
-            items, lambda item, i: _item_errors(item, i, strict))))
-    ).cast(ERRORS)
+    found = F.filter(F.flatten(F.transform(items, of_item)), lambda e: e.isNotNull())
+    not_list = F.array(_error(F.lit("line_items"), F.lit("list_type")))
+    return (F.when(items.isNotNull(), found).when(listed, not_list)
+            .otherwise(F.array())).cast(ERRORS)
 
 
-def typed_invoice(doc: Column) -> Column:
+def typed_invoice(header: Column, items: Column) -> Column:
     """The document as a typed struct with defaults: quantity 1.0, no line items -> []."""
 
-    def item(value: Column) -> Column:
-        quantity = V.member(value, "$.quantity")
-        return F.struct(
-            text_value(V.member(value, "$.product_desc")).alias("product_desc"),
-            F.when(quantity.isNull(), 1.0).otherwise(number_value(quantity)).alias("quantity"),
-            number_value(V.member(value, "$.unit_price")).alias("unit_price"),
-            number_value(V.member(value, "$.total_price")).alias("total_price"))
+    def typed_item(item: Column) -> Column:
+        fields = item["fields"]
+        values = {name: _value(fields[name], kind) for name, kind, *_ in ITEM_RULES}
+        values["quantity"] = F.when(fields["quantity"]["kind"].isNull(), 1.0).otherwise(
+            values["quantity"])
+        return F.struct(*[v.alias(name) for name, v in values.items()])
 
-    header = [
-        (text_value if kind == "text" else number_value)(V.member(doc, f"$.{name}")).alias(name)
-        for name, kind, _ in HEADER_RULES]
-    items = F.transform(item_list(doc), item).cast(f"array<{LINE_ITEM.simpleString()}>")
-    return F.struct(*header, F.coalesce(items, F.array()).alias("line_items")).cast(INVOICE)
+    header_values = [_value(header[name], kind).alias(name) for name, kind, _ in HEADER_RULES]
+    typed_items = F.coalesce(F.transform(items, typed_item), F.array())
+    return F.struct(*header_values, typed_items.alias("line_items")).cast(INVOICE)
 
 
 def load_errors(invoice: Column) -> Column:
@@ -161,27 +155,26 @@ def validate(documents: DataFrame, raw: str = "raw", strict: bool = False) -> Da
     ``constraint``. A ready ``error`` column (a failed extractor) becomes ``extractor``.
     """
     failed = F.col("error").isNotNull() if "error" in documents.columns else F.lit(False)
-    parsed = documents.withColumn("_doc", V.parse_json(F.col(raw)))
-    doc = F.col("_doc")
-    whole = F.when(F.col(raw).isNull() | doc.isNull(), "json_invalid").when(
-        ~V.is_object(doc), "model_type")
-    checked = parsed.withColumn("_schema_errors", F.when(
-        whole.isNotNull(), F.array(_error(F.lit(""), whole)).cast(ERRORS)
-    ).otherwise(F.concat(header_errors(doc, strict), line_item_errors(doc, strict))))
-    typed = checked.withColumn(
-        "invoice", F.when(F.size("_schema_errors") == 0, typed_invoice(doc)))
-    limited = typed.withColumn("_load_errors", F.when(
-        F.col("invoice").isNotNull(), load_errors(F.col("invoice"))))
+    parsed = computed_once(documents, _doc=V.parse_json(F.col(raw)))
+    read = read_document(parsed, "_doc")
+    doc, header, items = F.col("_doc"), F.col("_header"), F.col("_items")
+    whole = F.when(doc.isNull(), "json_invalid").when(~V.is_object(doc), "model_type")
+    found = F.when(whole.isNotNull(), F.array(_error(F.lit(""), whole)).cast(ERRORS)).otherwise(
+        F.concat(header_errors(header, strict),
+                 line_item_errors(items, F.col("_listed"), strict)))
+    typed = computed_once(read, _found=found, _typed=typed_invoice(header, items),
+                          _json=doc.isNull()).drop("_doc", "_header", "_items", "_listed")
+    sound = F.size("_found") == 0
+    refused = F.when(sound, load_errors(F.col("_typed"))).otherwise(F.col("_found"))
+    routed = computed_once(
+        typed, invoice=F.when(sound, F.col("_typed")), errors=refused, _sound=sound)
     error_type = (
         F.when(failed, "extractor")
-        .when(doc.isNull(), "json")
-        .when(F.size("_schema_errors") > 0, "validation")
-        .when(F.size("_load_errors") > 0, "constraint"))
-    return (
-        limited.withColumn("error_type", error_type)
-        .withColumn("errors", F.when(F.size("_schema_errors") > 0, F.col("_schema_errors"))
-                    .otherwise(F.col("_load_errors")))
-        .drop("_doc", "_schema_errors", "_load_errors"))
+        .when(F.col("_json"), "json")
+        .when(~F.col("_sound"), "validation")
+        .when(F.size("errors") > 0, "constraint"))
+    return routed.withColumn("error_type", error_type).drop(
+        "_found", "_typed", "_sound", "_json")
 
 
 def accepted(validated: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from billflow.functions.phonetic import double_metaphone
 from billflow.functions.similarity import jaro_winkler
 from billflow.operators import evaluate as E, expense, integrity, load, validate as val
 from billflow.operators.lookup import insert_only_new, number_rows
+from billflow.operators.once import computed_once
 from billflow.operators.resolve import resolve_vendors
 from billflow.operators.vendor_match import match_vendors, phonetic_codes
 from billflow.plans.etl import load_summary
@@ -209,19 +210,20 @@ def model_fanout(spark, sf):
 # Validation and projections ------------------------------------------------------------------
 
 def _parsed(spark, sf, items) -> DataFrame:
-    return X.documents(spark, sf, items).withColumn("doc", V.parse_json(F.col("raw")))
+    return val.read_document(computed_once(
+        X.documents(spark, sf, items), doc=V.parse_json(F.col("raw"))), "doc")
 
 
 @query
 def validate_header(spark, sf):
-    told = val.error_message(val.header_errors(F.col("doc")))
+    told = val.error_message(val.header_errors(F.col("_header")))
     return _parsed(spark, sf, False).select("file_name", F.when(
         F.col("doc").isNull(), "json").otherwise(told).alias("problems"))
 
 
 @query
 def validate_line_items(spark, sf):
-    told = val.error_message(val.line_item_errors(F.col("doc")))
+    told = val.error_message(val.line_item_errors(F.col("_items"), F.col("_listed")))
     return _parsed(spark, sf, True).select("file_name", F.when(
         F.col("doc").isNull(), "json").otherwise(told).alias("problems"))
 
@@ -235,7 +237,9 @@ def apply_defaults(spark, sf):
         F.concat(F.lit(',"line_items":['), item, F.lit("]")))
     raw = F.concat(F.lit('{"vendor_name":"V","total_amount":'), F.col("total_amount"), items,
                    F.lit("}"))
-    typed = X.bills(spark, sf).select("k", val.typed_invoice(V.parse_json(raw)).alias("i"))
+    parsed = computed_once(X.bills(spark, sf), doc=V.parse_json(raw))
+    typed = val.read_document(parsed, "doc").select(
+        "k", val.typed_invoice(F.col("_header"), F.col("_items")).alias("i"))
     return typed.select(
         "k", F.size("i.line_items").alias("n_items"),
         F.coalesce(F.get("i.line_items", 0)["quantity"], F.lit(0.0)).alias("quantity"),
@@ -513,7 +517,8 @@ def dlq_partition(spark, sf):
 
 @query
 def audit_not_null(spark, sf):
-    typed = _parsed(spark, sf, False).select(val.typed_invoice(F.col("doc")).alias("i"))
+    typed = _parsed(spark, sf, False).select(
+        val.typed_invoice(F.col("_header"), F.col("_items")).alias("i"))
     return integrity.audit_not_null(typed.select("i.*"), ["vendor_name", "total_amount",
                                                           "invoice_number"])
 
