@@ -100,7 +100,7 @@ def truth_text(field: str) -> Column:
     """A truth value as text; amounts are compared as numbers, so their form does not matter."""
     value = F.col(f"truth.{field}")
     if TRUTH[field].dataType.typeName() == "double":
-        return F.format_string("%.6f", value)
+        return F.when(value.isNotNull(), F.format_string("%.6f", value))
     return value
 
 

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from billflow.workspace import written
+
 SALTS = 8
 
 
@@ -43,8 +45,10 @@ def number_rows(rows: DataFrame, order: str, tie: str, name: str, after: Column
 
     The order column is cut at quantiles fixed on the driver (at most ``buckets`` numbers), so
     a retried task puts a row in the same bucket. Rows are numbered inside their bucket and
-    shifted by the sizes of the buckets before it.
+    shifted by the sizes of the buckets before it. The rows are written once, as three passes
+    read them.
     """
+    rows = written(rows, "numbered")
     cuts = rows.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.001)
     bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
     bucketed = rows.withColumn("_bucket", F.size(F.filter(

@@ -8,11 +8,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from billflow.functions import variants as V
-from billflow.functions.numbers import WHOLE_NUMBER_OR_WORD, whole_number
+from billflow.functions.numbers import WHOLE_NUMBER_OR_WORD
 from billflow.operators.once import computed_once
 from billflow.schemas import (
     AMOUNT_TYPE, INVOICE, MAX_INVOICE_NUMBER, MAX_VENDOR_NAME, QUANTITY_TYPE)
 
+
+def quoted(text: str) -> str:
+    """A raw SQL string literal: backslashes of patterns stay as they are."""
+    return "r'" + text + "'"
+
+
 ERRORS = "array<struct<loc:string,type:string>>"
 
 HEADER_RULES = (
@@ -30,122 +36,123 @@ ITEM_RULES = (
 )
 
 
-def _error(loc: Column, error_type: Column) -> Column:
-    return F.when(error_type.isNotNull(),
-                  F.struct(loc.alias("loc"), error_type.alias("type")))
+# The rules are put together as SQL text: the planner parses each once, where the same
+# expressions built from column objects cost a call into the JVM per node.
 
+def _error(loc: str, error_type: str) -> str:
+    return f"transform(filter(array({error_type}), t -> t IS NOT NULL), t -> " \
+           f"named_struct('loc', {loc}, 'type', t))"
 
-def _read(parent: Column, rules) -> Column:
-    """Kind, text and number of each named member, so that every value is looked up once."""
-    return F.struct(*[F.struct(
-        V.kind(V.member(parent, f"$.{name}")).alias("kind"),
-        F.try_variant_get(parent, f"$.{name}", "string").alias("text"),
-        *([F.try_variant_get(parent, f"$.{name}", "double").alias("number")]
-          if kind == "number" else [])).alias(name) for name, kind, *_ in rules])
 
+def _all_errors(checks: list[str]) -> str:
+    return f"concat({', '.join(checks)})"
 
-def read_document(documents: DataFrame, doc: str) -> DataFrame:
-    """Adds ``_header``, ``_items`` (null unless a list) and ``_listed`` (its kind) of a VARIANT."""
-    value = F.col(doc)
 
-    def read_item(item: Column) -> Column:
-        return F.struct(V.is_object(item).alias("is_object"),
-                        _read(item, ITEM_RULES).alias("fields"))
+def _read(parent: str, rules) -> str:
+    """Kind, text and number of each named member, so that every value is looked up once."""
+    members = []
+    for name, kind, *_ in rules:
+        at = f"{parent}, '$.{name}'"
+        number = f", 'number', try_variant_get({at}, 'double')" if kind == "number" else ""
+        members.append(
+            f"'{name}', named_struct('kind', schema_of_variant(try_variant_get({at}, 'variant')),"
+            f" 'text', try_variant_get({at}, 'string'){number})")
+    return f"named_struct({', '.join(members)})"
+
 
-    items = F.try_variant_get(value, "$.line_items", "array<variant>")
+def read_document(documents: DataFrame, doc: str) -> DataFrame:
+    """Adds ``_header``, ``_items`` (null unless a list) and ``_listed`` of a VARIANT column."""
+    items = (
+        f"transform(try_variant_get({doc}, '$.line_items', 'array<variant>'), v -> named_struct("
+        "'is_object', try_variant_get(v, '$', 'map<string,variant>') IS NOT NULL,"
+        f" 'fields', {_read('v', ITEM_RULES)}))")
     return computed_once(
-        documents, _header=_read(value, HEADER_RULES), _items=F.transform(items, read_item),
-        _listed=V.member(value, "$.line_items").isNotNull())
+        documents, _header=F.expr(_read(doc, HEADER_RULES)), _items=F.expr(items),
+        _listed=F.expr(f"try_variant_get({doc}, '$.line_items', 'variant') IS NOT NULL"))
 
 
-def _problem(field: Column, kind: str, required: bool, nullable: bool, strict: bool) -> Column:
-    found = field["kind"]
-    problem = F.when(found.isNull(), F.lit("missing") if required else F.lit(None))
+def _problem(field: str, kind: str, required: bool, nullable: bool, strict: bool) -> str:
+    cases = [f"WHEN {field}.kind IS NULL THEN {quoted('missing') if required else 'NULL'}"]
     if nullable:
-        problem = problem.when(found == "VOID", F.lit(None))
+        cases.append(f"WHEN {field}.kind = 'VOID' THEN NULL")
     if kind == "text":
-        return problem.when(found != "STRING", "string_type")
-    number = V.is_number(found) if strict else V.is_number(found) | (found == "BOOLEAN")
-    problem = problem.when(number, F.lit(None))
-    if not strict:
-        problem = problem.when(found == "STRING", F.when(
-            ~field["text"].rlike(WHOLE_NUMBER_OR_WORD), "float_parsing"))
-    return problem.otherwise("float_type")
-
-
-def _value(field: Column, kind: str) -> Column:
-    text = field["kind"] == "STRING"
+        cases.append(f"WHEN {field}.kind <> 'STRING' THEN 'string_type'")
+    else:
+        numbers = "BIGINT|DECIMAL|DOUBLE|FLOAT" + ("" if strict else "|BOOLEAN")
+        cases.append(f"WHEN {field}.kind RLIKE '^({numbers})' THEN NULL")
+        if not strict:
+            cases.append(
+                f"WHEN {field}.kind = 'STRING' THEN CASE WHEN {field}.text NOT RLIKE "
+                f"{quoted(WHOLE_NUMBER_OR_WORD)} THEN 'float_parsing' END")
+        cases.append("ELSE 'float_type'")
+    return f"CASE {' '.join(cases)} END"
+
+
+def _value(field: str, kind: str) -> str:
     if kind == "text":
-        return F.when(text, field["text"])
-    return F.when(text, whole_number(field["text"])).otherwise(field["number"])
+        return f"CASE WHEN {field}.kind = 'STRING' THEN {field}.text END"
+    return (f"CASE WHEN {field}.kind <> 'STRING' THEN {field}.number"
+            f" WHEN {field}.text RLIKE {quoted(WHOLE_NUMBER_OR_WORD)}"
+            f" THEN try_cast(trim({field}.text) AS DOUBLE) END")
 
 
-def header_errors(header: Column, strict: bool = False) -> Column:
-    checks = [_error(F.lit(name), _problem(header[name], kind, required, not required, strict))
-              for name, kind, required in HEADER_RULES]
-    return F.filter(F.array(*checks), lambda e: e.isNotNull()).cast(ERRORS)
+def header_errors(header: str = "_header", strict: bool = False) -> Column:
+    return F.expr(_all_errors([
+        _error(quoted(name), _problem(f"{header}.{name}", kind, required, not required, strict))
+        for name, kind, required in HEADER_RULES])).cast(ERRORS)
 
 
-def line_item_errors(items: Column, listed: Column, strict: bool = False) -> Column:
-    def of_item(item: Column, i: Column) -> Column:
-        at = F.concat(F.lit("line_items."), i.cast("string"))
-        checks = [_error(F.concat(at, F.lit(f".{name}")), _problem(
-            item["fields"][name], kind, required, nullable, strict))
-            for name, kind, required, nullable in ITEM_RULES]
-        return F.when(item["is_object"], F.array(*checks)).otherwise(
-            F.array(_error(at, F.lit("model_type"))))
+def line_item_errors(items: str = "_items", listed: str = "_listed",
+                     strict: bool = False) -> Column:
+    checks = [_error(f"concat('line_items.', i, '.{name}')", _problem(
+        f"v.fields.{name}", kind, required, nullable, strict))
+        for name, kind, required, nullable in ITEM_RULES]
+    of_item = (f"CASE WHEN v.is_object THEN {_all_errors(checks)} ELSE "
+               f"array(named_struct('loc', concat('line_items.', i), 'type', 'model_type')) END")
+    return F.expr(
+        f"CASE WHEN {items} IS NOT NULL THEN flatten(transform({items}, (v, i) -> {of_item}))"
+        f" WHEN {listed} THEN array(named_struct('loc', 'line_items', 'type', 'list_type'))"
+        " ELSE array() END").cast(ERRORS)
 
-    found = F.filter(F.flatten(F.transform(items, of_item)), lambda e: e.isNotNull())
-    not_list = F.array(_error(F.lit("line_items"), F.lit("list_type")))
-    return (F.when(items.isNotNull(), found).when(listed, not_list)
-            .otherwise(F.array())).cast(ERRORS)
 
-
-def typed_invoice(header: Column, items: Column) -> Column:
+def typed_invoice(header: str = "_header", items: str = "_items") -> Column:
     """The document as a typed struct with defaults: quantity 1.0, no line items -> []."""
-
-    def typed_item(item: Column) -> Column:
-        fields = item["fields"]
-        values = {name: _value(fields[name], kind) for name, kind, *_ in ITEM_RULES}
-        values["quantity"] = F.when(fields["quantity"]["kind"].isNull(), 1.0).otherwise(
-            values["quantity"])
-        return F.struct(*[v.alias(name) for name, v in values.items()])
-
-    header_values = [_value(header[name], kind).alias(name) for name, kind, _ in HEADER_RULES]
-    typed_items = F.coalesce(F.transform(items, typed_item), F.array())
-    return F.struct(*header_values, typed_items.alias("line_items")).cast(INVOICE)
-
-
-def load_errors(invoice: Column) -> Column:
+    values = {name: _value(f"v.fields.{name}", kind) for name, kind, *_ in ITEM_RULES}
+    values["quantity"] = (
+        f"CASE WHEN v.fields.quantity.kind IS NULL THEN 1.0D ELSE {values['quantity']} END")
+    item = ", ".join(f"'{name}', {value}" for name, value in values.items())
+    head = ", ".join(f"'{name}', {_value(f'{header}.{name}', kind)}"
+                     for name, kind, _ in HEADER_RULES)
+    return F.expr(
+        f"named_struct({head}, 'line_items', coalesce("
+        f"transform({items}, v -> named_struct({item})), array()))").cast(INVOICE)
+
+
+def load_errors(invoice: str = "_typed") -> Column:
     """What the staging tables would refuse: no such date, too wide a number, too long a text."""
 
-    def too_wide(value: Column, column_type: str) -> Column:
-        return F.when(value.isNotNull() & value.try_cast(column_type).isNull(),
-                      "numeric_overflow")
+    def too_wide(value: str, column_type: str) -> str:
+        return (f"CASE WHEN {value} IS NOT NULL AND try_cast({value} AS {column_type}) IS NULL"
+                " THEN 'numeric_overflow' END")
 
-    def too_long(value: Column, limit: int) -> Column:
-        return F.when(F.length(value) > limit, "text_too_long")
+    def too_long(name: str, limit: int) -> str:
+        return f"CASE WHEN length({invoice}.{name}) > {limit} THEN 'text_too_long' END"
 
-    date = invoice["invoice_date"]
+    date = f"{invoice}.invoice_date"
     checks = [
-        _error(F.lit("vendor_name"), too_long(invoice["vendor_name"], MAX_VENDOR_NAME)),
-        _error(F.lit("invoice_number"), too_long(invoice["invoice_number"], MAX_INVOICE_NUMBER)),
-        _error(F.lit("invoice_date"), F.when(
-            date.isNotNull() & F.try_to_date(date, "yyyy-MM-dd").isNull(), "date_invalid")),
-        _error(F.lit("total_amount"), too_wide(invoice["total_amount"], AMOUNT_TYPE)),
-        _error(F.lit("tax_amount"), too_wide(invoice["tax_amount"], AMOUNT_TYPE)),
-    ]
-
-    def item_checks(item: Column, i: Column) -> Column:
-        at = F.concat(F.lit("line_items."), i.cast("string"))
-        return F.array(
-            _error(F.concat(at, F.lit(".quantity")), too_wide(item["quantity"], QUANTITY_TYPE)),
-            _error(F.concat(at, F.lit(".unit_price")), too_wide(item["unit_price"], AMOUNT_TYPE)),
-            _error(F.concat(at, F.lit(".total_price")),
-                   too_wide(item["total_price"], AMOUNT_TYPE)))
-
-    items = F.flatten(F.transform(invoice["line_items"], item_checks))
-    return F.filter(F.concat(F.array(*checks), items), lambda e: e.isNotNull()).cast(ERRORS)
+        _error("'vendor_name'", too_long("vendor_name", MAX_VENDOR_NAME)),
+        _error("'invoice_number'", too_long("invoice_number", MAX_INVOICE_NUMBER)),
+        _error("'invoice_date'", f"CASE WHEN {date} IS NOT NULL AND "
+                                 f"try_to_date({date}, 'yyyy-MM-dd') IS NULL "
+                                 "THEN 'date_invalid' END"),
+        *[_error(quoted(c), too_wide(f"{invoice}.{c}", AMOUNT_TYPE))
+          for c in ("total_amount", "tax_amount")]]
+    item_checks = [
+        _error(f"concat('line_items.', i, '.{c}')", too_wide(f"v.{c}", column_type))
+        for c, column_type in (("quantity", QUANTITY_TYPE), ("unit_price", AMOUNT_TYPE),
+                               ("total_price", AMOUNT_TYPE))]
+    of_items = f"flatten(transform({invoice}.line_items, (v, i) -> {_all_errors(item_checks)}))"
+    return F.expr(_all_errors([*checks, of_items])).cast(ERRORS)
 
 
 def validate(documents: DataFrame, raw: str = "raw", strict: bool = False) -> DataFrame:
@@ -157,15 +164,15 @@ def validate(documents: DataFrame, raw: str = "raw", strict: bool = False) -> Da
     failed = F.col("error").isNotNull() if "error" in documents.columns else F.lit(False)
     parsed = computed_once(documents, _doc=V.parse_json(F.col(raw)))
     read = read_document(parsed, "_doc")
-    doc, header, items = F.col("_doc"), F.col("_header"), F.col("_items")
+    doc = F.col("_doc")
     whole = F.when(doc.isNull(), "json_invalid").when(~V.is_object(doc), "model_type")
-    found = F.when(whole.isNotNull(), F.array(_error(F.lit(""), whole)).cast(ERRORS)).otherwise(
-        F.concat(header_errors(header, strict),
-                 line_item_errors(items, F.col("_listed"), strict)))
-    typed = computed_once(read, _found=found, _typed=typed_invoice(header, items),
-                          _json=doc.isNull()).drop("_doc", "_header", "_items", "_listed")
+    unreadable = F.array(F.struct(F.lit("").alias("loc"), whole.alias("type"))).cast(ERRORS)
+    found = F.when(whole.isNotNull(), unreadable).otherwise(
+        F.concat(header_errors(strict=strict), line_item_errors(strict=strict)))
+    typed = computed_once(read, _found=found, _typed=typed_invoice(), _json=doc.isNull()).drop(
+        "_doc", "_header", "_items", "_listed")
     sound = F.size("_found") == 0
-    refused = F.when(sound, load_errors(F.col("_typed"))).otherwise(F.col("_found"))
+    refused = F.when(sound, load_errors()).otherwise(F.col("_found"))
     routed = computed_once(
         typed, invoice=F.when(sound, F.col("_typed")), errors=refused, _sound=sound)
     error_type = (

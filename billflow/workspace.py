@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -25,3 +25,10 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder below the shared one."""
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """The same rows as a table in the shared folder: computed once, kept if executors die."""
+    path = fresh_dir(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

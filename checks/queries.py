@@ -20,7 +20,7 @@ from billflow.plans.store import StagingStore
 from billflow.schemas import FIELDS, MODEL_COST_PER_100, MODELS
 from billflow.sources import extract, files, payloads
 from billflow.streaming import ingest
-from billflow.workspace import fresh_dir
+from billflow.workspace import fresh_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,9 +34,9 @@ def query(function: Query) -> Query:
 # Shared inputs -------------------------------------------------------------------------------
 
 def _rows(spark, sf, items=False, changed=False, strict=False) -> DataFrame:
-    """Load rows of the accepted documents."""
+    """Load rows of the accepted documents, validated once and written."""
     docs = X.documents(spark, sf, items, changed)
-    return load.load_rows(val.accepted(val.validate(docs, strict=strict)))
+    return written(load.load_rows(val.accepted(val.validate(docs, strict=strict))), "rows")
 
 
 def _empty(spark, ddl: str) -> DataFrame:
@@ -216,14 +216,14 @@ def _parsed(spark, sf, items) -> DataFrame:
 
 @query
 def validate_header(spark, sf):
-    told = val.error_message(val.header_errors(F.col("_header")))
+    told = val.error_message(val.header_errors())
     return _parsed(spark, sf, False).select("file_name", F.when(
         F.col("doc").isNull(), "json").otherwise(told).alias("problems"))
 
 
 @query
 def validate_line_items(spark, sf):
-    told = val.error_message(val.line_item_errors(F.col("_items"), F.col("_listed")))
+    told = val.error_message(val.line_item_errors())
     return _parsed(spark, sf, True).select("file_name", F.when(
         F.col("doc").isNull(), "json").otherwise(told).alias("problems"))
 
@@ -239,7 +239,7 @@ def apply_defaults(spark, sf):
                    F.lit("}"))
     parsed = computed_once(X.bills(spark, sf), doc=V.parse_json(raw))
     typed = val.read_document(parsed, "doc").select(
-        "k", val.typed_invoice(F.col("_header"), F.col("_items")).alias("i"))
+        "k", val.typed_invoice().alias("i"))
     return typed.select(
         "k", F.size("i.line_items").alias("n_items"),
         F.coalesce(F.get("i.line_items", 0)["quantity"], F.lit(0.0)).alias("quantity"),
@@ -269,7 +269,7 @@ def check_load_constraints(spark, sf):
                          F.lit(None).cast("double").alias("unit_price"),
                          F.col("total_amount").alias("total_price"))).alias("line_items"))
     typed = X.bills(spark, sf).select("k", invoice.alias("i"))
-    return typed.select("k", val.error_message(val.load_errors(F.col("i"))).alias("problems"))
+    return typed.select("k", val.error_message(val.load_errors("i")).alias("problems"))
 
 
 @query
@@ -518,7 +518,7 @@ def dlq_partition(spark, sf):
 @query
 def audit_not_null(spark, sf):
     typed = _parsed(spark, sf, False).select(
-        val.typed_invoice(F.col("_header"), F.col("_items")).alias("i"))
+        val.typed_invoice().alias("i"))
     return integrity.audit_not_null(typed.select("i.*"), ["vendor_name", "total_amount",
                                                           "invoice_number"])
 
