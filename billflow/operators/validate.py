@@ -48,27 +48,35 @@ def _all_errors(checks: list[str]) -> str:
     return f"concat({', '.join(checks)})"
 
 
-def _read(parent: str, rules) -> str:
-    """Kind, text and number of each named member, so that every value is looked up once."""
+def _opened(rules, *more: str) -> str:
+    return "struct<" + ",".join(f"{name}:variant" for name in [*(r[0] for r in rules), *more]) + ">"
+
+
+def _read(opened: str, rules) -> str:
+    """Kind, text and number of each named member."""
     members = []
     for name, kind, *_ in rules:
-        at = f"{parent}, '$.{name}'"
-        number = f", 'number', try_variant_get({at}, 'double')" if kind == "number" else ""
-        members.append(
-            f"'{name}', named_struct('kind', schema_of_variant(try_variant_get({at}, 'variant')),"
-            f" 'text', try_variant_get({at}, 'string'){number})")
+        at = f"{opened}.{name}"
+        number = f", 'number', try_variant_get({at}, '$', 'double')" if kind == "number" else ""
+        members.append(f"'{name}', named_struct('kind', schema_of_variant({at}),"
+                       f" 'text', try_variant_get({at}, '$', 'string'){number})")
     return f"named_struct({', '.join(members)})"
 
 
 def read_document(documents: DataFrame, doc: str) -> DataFrame:
-    """Adds ``_header``, ``_items`` (null unless a list) and ``_listed`` of a VARIANT column."""
-    items = (
-        f"transform(try_variant_get({doc}, '$.line_items', 'array<variant>'), v -> named_struct("
-        "'is_object', try_variant_get(v, '$', 'map<string,variant>') IS NOT NULL,"
-        f" 'fields', {_read('v', ITEM_RULES)}))")
+    """Adds ``_header``, ``_items`` (null unless a list) and ``_listed`` of a VARIANT column.
+
+    Each object is opened into its members in one go, which is several times cheaper than a
+    path lookup per member. A member that is missing stays null, a JSON null does not.
+    """
+    members = _opened(HEADER_RULES, "line_items")
+    listed = f"array<{_opened(ITEM_RULES)}>"
+    opened = computed_once(documents, _open=F.expr(f"try_variant_get({doc}, '$', '{members}')"))
+    items = (f"transform(try_variant_get(_open.line_items, '$', '{listed}'), v -> named_struct("
+             f"'is_object', v IS NOT NULL, 'fields', {_read('v', ITEM_RULES)}))")
     return computed_once(
-        documents, _header=F.expr(_read(doc, HEADER_RULES)), _items=F.expr(items),
-        _listed=F.expr(f"try_variant_get({doc}, '$.line_items', 'variant') IS NOT NULL"))
+        opened, _header=F.expr(_read("_open", HEADER_RULES)), _items=F.expr(items),
+        _listed=F.expr("_open.line_items IS NOT NULL")).drop("_open")
 
 
 def _problem(field: str, kind: str, required: bool, nullable: bool, strict: bool) -> str:
