@@ -11,7 +11,7 @@ from billflow.functions import variants as V
 from billflow.functions.numbers import WHOLE_NUMBER_OR_WORD
 from billflow.operators.once import computed_once
 from billflow.schemas import (
-    AMOUNT_TYPE, INVOICE, MAX_INVOICE_NUMBER, MAX_VENDOR_NAME, QUANTITY_TYPE)
+    AMOUNT_TYPE, MAX_INVOICE_NUMBER, MAX_VENDOR_NAME, QUANTITY_TYPE)
 
 
 def quoted(text: str) -> str:
@@ -39,13 +39,27 @@ ITEM_RULES = (
 # The rules are put together as SQL text: the planner parses each once, where the same
 # expressions built from column objects cost a call into the JVM per node.
 
-def _error(loc: str, error_type: str) -> str:
-    return f"transform(filter(array({error_type}), t -> t IS NOT NULL), t -> " \
-           f"named_struct('loc', {loc}, 'type', t))"
+NO_ERRORS = f"CAST(array() AS {ERRORS})"
 
 
-def _all_errors(checks: list[str]) -> str:
-    return f"concat({', '.join(checks)})"
+def _listing(checks: list[tuple[str, str]]) -> str:
+    """The violations among (place, violation or null) pairs."""
+    pairs = ", ".join(f"named_struct('loc', {loc}, 'type', {found})" for loc, found in checks)
+    return f"filter(array({pairs}), e -> e.type IS NOT NULL)"
+
+
+def _none_found(checks: list[tuple[str, str]]) -> str:
+    return f"coalesce({', '.join(found for _, found in checks)}) IS NULL"
+
+
+def _item_listing(items: str, checks: list[tuple[str, str]], wrong_item: str = "") -> str:
+    """Violations in a list ``v`` at ``i``; a clean list, the usual case, is only looked through."""
+    sound, of_item = _none_found(checks), _listing(checks)
+    if wrong_item:
+        sound = f"v.is_object AND {sound}"
+        of_item = f"CASE WHEN v.is_object THEN {of_item} ELSE {wrong_item} END"
+    return (f"CASE WHEN forall({items}, v -> {sound}) THEN {NO_ERRORS}"
+            f" ELSE flatten(transform({items}, (v, i) -> {of_item})) END")
 
 
 def _opened(rules, *more: str) -> str:
@@ -105,22 +119,21 @@ def _value(field: str, kind: str) -> str:
 
 
 def header_errors(header: str = "_header", strict: bool = False) -> Column:
-    return F.expr(_all_errors([
-        _error(quoted(name), _problem(f"{header}.{name}", kind, required, not required, strict))
-        for name, kind, required in HEADER_RULES])).cast(ERRORS)
+    checks = [(quoted(name), _problem(f"{header}.{name}", kind, required, not required, strict))
+              for name, kind, required in HEADER_RULES]
+    return F.expr(f"CASE WHEN {_none_found(checks)} THEN {NO_ERRORS} ELSE {_listing(checks)} END")
 
 
 def line_item_errors(items: str = "_items", listed: str = "_listed",
                      strict: bool = False) -> Column:
-    checks = [_error(f"concat('line_items.', i, '.{name}')", _problem(
-        f"v.fields.{name}", kind, required, nullable, strict))
-        for name, kind, required, nullable in ITEM_RULES]
-    of_item = (f"CASE WHEN v.is_object THEN {_all_errors(checks)} ELSE "
-               f"array(named_struct('loc', concat('line_items.', i), 'type', 'model_type')) END")
+    checks = [(f"concat('line_items.', i, '.{name}')",
+               _problem(f"v.fields.{name}", kind, required, nullable, strict))
+              for name, kind, required, nullable in ITEM_RULES]
+    wrong = "array(named_struct('loc', concat('line_items.', i), 'type', 'model_type'))"
     return F.expr(
-        f"CASE WHEN {items} IS NOT NULL THEN flatten(transform({items}, (v, i) -> {of_item}))"
+        f"CASE WHEN {items} IS NOT NULL THEN {_item_listing(items, checks, wrong)}"
         f" WHEN {listed} THEN array(named_struct('loc', 'line_items', 'type', 'list_type'))"
-        " ELSE array() END").cast(ERRORS)
+        f" ELSE {NO_ERRORS} END")
 
 
 def typed_invoice(header: str = "_header", items: str = "_items") -> Column:
@@ -133,7 +146,7 @@ def typed_invoice(header: str = "_header", items: str = "_items") -> Column:
                      for name, kind, _ in HEADER_RULES)
     return F.expr(
         f"named_struct({head}, 'line_items', coalesce("
-        f"transform({items}, v -> named_struct({item})), array()))").cast(INVOICE)
+        f"transform({items}, v -> named_struct({item})), array()))")
 
 
 def load_errors(invoice: str = "_typed") -> Column:
@@ -148,19 +161,18 @@ def load_errors(invoice: str = "_typed") -> Column:
 
     date = f"{invoice}.invoice_date"
     checks = [
-        _error("'vendor_name'", too_long("vendor_name", MAX_VENDOR_NAME)),
-        _error("'invoice_number'", too_long("invoice_number", MAX_INVOICE_NUMBER)),
-        _error("'invoice_date'", f"CASE WHEN {date} IS NOT NULL AND "
-                                 f"try_to_date({date}, 'yyyy-MM-dd') IS NULL "
-                                 "THEN 'date_invalid' END"),
-        *[_error(quoted(c), too_wide(f"{invoice}.{c}", AMOUNT_TYPE))
+        ("'vendor_name'", too_long("vendor_name", MAX_VENDOR_NAME)),
+        ("'invoice_number'", too_long("invoice_number", MAX_INVOICE_NUMBER)),
+        ("'invoice_date'", f"CASE WHEN {date} IS NOT NULL AND "
+                           f"try_to_date({date}, 'yyyy-MM-dd') IS NULL THEN 'date_invalid' END"),
+        *[(quoted(c), too_wide(f"{invoice}.{c}", AMOUNT_TYPE))
           for c in ("total_amount", "tax_amount")]]
     item_checks = [
-        _error(f"concat('line_items.', i, '.{c}')", too_wide(f"v.{c}", column_type))
+        (f"concat('line_items.', i, '.{c}')", too_wide(f"v.{c}", column_type))
         for c, column_type in (("quantity", QUANTITY_TYPE), ("unit_price", AMOUNT_TYPE),
                                ("total_price", AMOUNT_TYPE))]
-    of_items = f"flatten(transform({invoice}.line_items, (v, i) -> {_all_errors(item_checks)}))"
-    return F.expr(_all_errors([*checks, of_items])).cast(ERRORS)
+    of_header = f"CASE WHEN {_none_found(checks)} THEN {NO_ERRORS} ELSE {_listing(checks)} END"
+    return F.expr(f"concat({of_header}, {_item_listing(f'{invoice}.line_items', item_checks)})")
 
 
 def validate(documents: DataFrame, raw: str = "raw", strict: bool = False) -> DataFrame:
