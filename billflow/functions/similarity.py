@@ -59,22 +59,33 @@ def jaro_winkler_batch(left: np.ndarray, right: np.ndarray, floor: bool = True)
     return np.where(jaro > 0.7, jaro + 0.1 * prefix * (1 - jaro), jaro)
 
 
-def jaro_winkler_series(left: pd.Series, right: pd.Series, floor: bool = True) -> pd.Series:
-    """Scores a batch in chunks of pairs of like length, so a long text costs only itself."""
-    known = (left.notna() & right.notna()).to_numpy()
-    a = left.fillna("").to_numpy(dtype=object)
-    b = right.fillna("").to_numpy(dtype=object)
-    longest = np.maximum([len(t) for t in a], [len(t) for t in b]) if len(a) else np.array([])
+def _in_chunks(a: np.ndarray, b: np.ndarray, floor: bool) -> np.ndarray:
+    """Pairs of like length together, so that one long text costs only itself."""
+    longest = np.array([max(len(x), len(y)) for x, y in zip(a, b)], dtype=np.int64)
     order = np.argsort(longest, kind="stable")
-    out = np.full(len(a), np.nan)
+    out = np.empty(len(a))
     start = 0
     while start < len(order):
-        size = max(CELLS_PER_CHUNK // max(int(longest[order[start]]) * 2, 1), 1)
+        first = int(longest[order[start]])
+        size = max(CELLS_PER_CHUNK // max(2 * first, 16), 1)
         rows = order[start:start + size]
-        widest = longest[rows] <= 2 * max(int(longest[rows[0]]), 8)
-        rows = rows[:max(int(widest.sum()), 1)]
+        rows = rows[longest[rows] <= max(2 * first, 16)]
         out[rows] = jaro_winkler_batch(a[rows], b[rows], floor)
         start += len(rows)
+    return out
+
+
+def jaro_winkler_series(left: pd.Series, right: pd.Series, floor: bool = True) -> pd.Series:
+    """Scores a batch; a pair that repeats in it is scored once, a null on either side is null."""
+    known = (left.notna() & right.notna()).to_numpy()
+    out = np.full(len(left), np.nan)
+    if known.any():
+        a = left.to_numpy(dtype=object)[known]
+        b = right.to_numpy(dtype=object)[known]
+        places: dict = {}
+        place = np.array([places.setdefault(pair, len(places)) for pair in zip(a, b)])
+        each = np.array(list(places), dtype=object)
+        out[known] = _in_chunks(each[:, 0], each[:, 1], floor)[place]
     return pd.Series(out).where(known)
 
 

@@ -12,17 +12,17 @@ from billflow.functions.variants import parse_json
 from billflow.operators.once import computed_once
 from billflow.operators.vendor_match import match_vendors
 from billflow.schemas import FIELDS, TRUTH
-from billflow.sources.payloads import extracted_fields
+from billflow.sources.payloads import extracted_fields, open_fields
 
 
 def parse_attempts(attempts: DataFrame, payload: str = "payload") -> DataFrame:
     """(file, model, error, extracted): a payload that is no JSON becomes that row's error."""
     parsed = computed_once(attempts.select("file", "model", "error", payload),
-                           _doc=parse_json(F.col(payload)))
-    doc = F.col("_doc")
-    failed = F.coalesce(F.col("error"), F.when(doc.isNull(), "payload is not JSON"))
+                           _open=open_fields(parse_json(F.col(payload))))
+    opened = F.col("_open")
+    failed = F.coalesce(F.col("error"), F.when(opened.isNull(), "payload is no JSON object"))
     return computed_once(
-        parsed, error=failed, extracted=F.when(failed.isNull(), extracted_fields(doc))
+        parsed, error=failed, extracted=F.when(failed.isNull(), extracted_fields(opened))
     ).select("file", "model", "error", "extracted")
 
 
@@ -48,8 +48,7 @@ def evaluate(joined: DataFrame, phonetic: bool = True, profile: str = "code",
     ``sentinels`` are words such as ``Unspecified``: two equal ones count as a tax-id match.
     """
     e, t = F.col("extracted"), F.col("truth")
-    matched = match_vendors(joined, e["vendor_name"], t["vendor_name"], ["file", "model"],
-                            phonetic, profile)
+    matched = match_vendors(joined, e["vendor_name"], t["vendor_name"], phonetic, profile)
     gstin = M.match_gstin(F.coalesce(e["gstin"], F.lit("")), t["gstin"])
     if sentinels:
         agreed = e["gstin"].isin(*sentinels) & (e["gstin"] == t["gstin"])

@@ -1,14 +1,14 @@
-"""Vendor-name comparison for whole tables: similarity runs on distinct undecided pairs only."""
+"""Vendor-name comparison for whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from billflow.functions.match import spec_vendor_result, vendor_result
-from billflow.functions.phonetic import code_array, double_metaphone
+from billflow.functions.phonetic import code_array, double_metaphone, phonetic_match
 from billflow.functions.similarity import jaro_winkler
 from billflow.functions.text import normalize_vendor
-from billflow.operators.lookup import salted_lookup
+from billflow.operators.once import computed_once
 
 PROFILES = {"code": vendor_result, "spec": spec_vendor_result}
 
@@ -20,35 +20,19 @@ def phonetic_codes(names: DataFrame, name: str) -> DataFrame:
             .select(name, code_array(F.col("_dm")).alias("codes")))
 
 
-def scored_pairs(pairs: DataFrame, phonetic: bool = True) -> DataFrame:
-    """Distinct (norm_e, norm_t) pairs with ``similarity`` and ``phonetic``."""
-    distinct = pairs.select("norm_e", "norm_t").distinct()
-    if phonetic:
-        for side in ("norm_e", "norm_t"):
-            coded = phonetic_codes(distinct, side).withColumnRenamed("codes", f"_{side}")
-            distinct = distinct.join(coded, side, "left")
-        heard = F.coalesce(F.arrays_overlap("_norm_e", "_norm_t"), F.lit(False))
-    else:
-        heard = F.lit(False)
-    return distinct.select(
-        "norm_e", "norm_t", heard.alias("phonetic"),
-        jaro_winkler(F.col("norm_e"), F.col("norm_t")).alias("similarity"))
-
-
-def match_vendors(rows: DataFrame, extracted: Column, truth: Column, spread_by: list[str],
-                  phonetic: bool = True, profile: str = "code",
-                  name: str = "vendor_match") -> DataFrame:
-    """Adds the vendor comparison as a struct column.
-
-    Rows equal after normalisation are decided without leaving the JVM; the others meet the
-    scores of their distinct pair through a salted lookup, so a pair filling a third of the
-    table is scored once and its rows are spread.
+def match_vendors(rows: DataFrame, extracted: Column, truth: Column, phonetic: bool = True,
+                  profile: str = "code", name: str = "vendor_match") -> DataFrame:
+    """Adds the vendor comparison as a struct column, without moving any row.
+
+    Rows equal after normalisation are decided inside the JVM and reach the Python functions
+    as nulls, which cost next to nothing; of the others, each pair is scored once per batch.
     """
-    normal = rows.withColumn("norm_e", normalize_vendor(extracted, profile)).withColumn(
-        "norm_t", normalize_vendor(truth, profile))
-    scores = scored_pairs(normal.where(F.col("norm_e") != F.col("norm_t")), phonetic)
-    joined = salted_lookup(normal, scores, ["norm_e", "norm_t"], spread_by, "left")
-    compared = PROFILES[profile](
-        F.col("norm_e") == F.col("norm_t"), F.col("phonetic"), F.col("similarity"))
-    return joined.withColumn(name, compared).drop(
-        "norm_e", "norm_t", "phonetic", "similarity")
+    normal = computed_once(rows, _norm_e=normalize_vendor(extracted, profile),
+                           _norm_t=normalize_vendor(truth, profile))
+    same = F.col("_norm_e") == F.col("_norm_t")
+    e, t = F.when(~same, F.col("_norm_e")), F.when(~same, F.col("_norm_t"))
+    scored = normal.withColumn("_similarity", jaro_winkler(e, t)).withColumn(
+        "_phonetic", phonetic_match(e, t) if phonetic else F.lit(False))
+    compared = PROFILES[profile](same, F.col("_phonetic"), F.col("_similarity"))
+    return scored.withColumn(name, compared).drop(
+        "_norm_e", "_norm_t", "_similarity", "_phonetic")

@@ -48,8 +48,13 @@ def resolve_provider(response: Column, provider: str) -> Column:
     return F.coalesce(*[F.when(V.is_truthy(f), f) for f in found], response)
 
 
-def extracted_fields(doc: Column) -> Column:
+def open_fields(doc: Column) -> Column:
+    """The six scored members of a record, still untyped; null unless it is an object."""
+    return F.try_variant_get(doc, "$", "struct<" + ",".join(f"{f}:variant" for f in FIELDS) + ">")
+
+
+def extracted_fields(opened: Column) -> Column:
     """The six scored fields as text, plus whether the invoice number was a text."""
-    values = [V.js_text(V.member(doc, f"$.{f}")).alias(f) for f in FIELDS]
-    number_kind = V.kind(V.member(doc, "$.invoice_number"))
-    return F.struct(*values, (number_kind == "STRING").alias("invoice_number_is_text"))
+    return F.struct(*[V.js_text(opened[f]).alias(f) for f in FIELDS],
+                    (V.kind(opened["invoice_number"]) == "STRING")
+                    .alias("invoice_number_is_text"))

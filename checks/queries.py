@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from billflow import fixtures as X
 from billflow.functions import match as M, numbers as N, text as T, variants as V
-from billflow.functions.phonetic import double_metaphone
+from billflow.functions import phonetic as P
 from billflow.functions.similarity import jaro_winkler
 from billflow.operators import evaluate as E, expense, integrity, load, validate as val
 from billflow.operators.lookup import insert_only_new, number_rows
 from billflow.operators.once import computed_once
 from billflow.operators.resolve import resolve_vendors
-from billflow.operators.vendor_match import match_vendors, phonetic_codes
+from billflow.operators.vendor_match import match_vendors
 from billflow.plans.etl import load_summary
 from billflow.plans.store import StagingStore
 from billflow.schemas import FIELDS, MODEL_COST_PER_100, MODELS
@@ -566,7 +566,7 @@ def normalize_vendor(spark, sf):
 @query
 def double_metaphone_codes(spark, sf):
     names = X.table(spark, sf, "part").select(F.col("p_name").alias("name")).distinct()
-    return names.withColumn("dm", double_metaphone(F.col("name"))).select("name", "dm.*")
+    return names.withColumn("dm", P.double_metaphone(F.col("name"))).select("name", "dm.*")
 
 
 QUERIES["double_metaphone"] = QUERIES.pop("double_metaphone_codes")
@@ -575,10 +575,8 @@ QUERIES["double_metaphone"] = QUERIES.pop("double_metaphone_codes")
 @query
 def phonetic_match(spark, sf):
     pairs = X.name_pairs(spark, sf).where(F.col("extracted").isNotNull())
-    for side in ("extracted", "truth"):
-        pairs = pairs.join(phonetic_codes(pairs, side).withColumnRenamed("codes", f"_{side}"),
-                           side)
-    return pairs.select("k", F.arrays_overlap("_extracted", "_truth").alias("heard_alike"))
+    heard = pairs.withColumn("heard_alike", P.phonetic_match(F.col("extracted"), F.col("truth")))
+    return heard.select("k", "heard_alike")
 
 
 @query
@@ -592,8 +590,7 @@ QUERIES["jaro_winkler"] = QUERIES.pop("jaro_winkler_similarity")
 
 
 def _vendor_match(spark, sf, **options) -> DataFrame:
-    matched = match_vendors(X.name_pairs(spark, sf), F.col("extracted"), F.col("truth"), ["k"],
-                            **options)
+    matched = match_vendors(X.name_pairs(spark, sf), F.col("extracted"), F.col("truth"), **options)
     return matched.select("k", *_result("vendor_match"))
 
 
