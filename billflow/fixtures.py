@@ -25,6 +25,12 @@ def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date", "total_amount", ((k % 500) / F.lit(4.0)).alias("tax_amount"))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores by key. The test tables are single files of one row group, which
+    one task would read; real payloads arrive in many splits and need no such step."""
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "k")
+
+
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(k, items): an order's lines as one sorted list; a bill holds its own lines."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -52,7 +58,7 @@ def documents(spark: SparkSession, sf_dir: str, items: bool = True,
     ``changed`` gives a second delivery: for k % 7 = 0 the tax is one higher and the number
     gets a suffix, for k % 7 = 1 the tax is null, otherwise nothing differs.
     """
-    rows, k = bills(spark, sf_dir), F.col("k")
+    rows, k = spread(bills(spark, sf_dir)), F.col("k")
     if items:
         rows = rows.join(order_items(spark, sf_dir), "k", "left").withColumn(
             "items", F.coalesce("items", F.array()))
@@ -156,7 +162,7 @@ def _with_gstin(rows: DataFrame) -> DataFrame:
 
 def model_outputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """(k, file, payload, error) of three models: one perfect, two with fixed faults."""
-    rows, k = _with_gstin(bills(spark, sf_dir)), F.col("k")
+    rows, k = _with_gstin(spread(bills(spark, sf_dir))), F.col("k")
     fields = ("vendor_name", "invoice_number", "date", "total_amount", "tax_amount", "gstin")
 
     def output(changes: dict[str, Column], failed: Column | None = None) -> DataFrame:
