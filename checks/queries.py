@@ -173,10 +173,6 @@ def data_url_decode(spark, sf):
         (files.rebuild_data_url(url) == url).alias("rebuilt"))
 
 
-def _number_of(file: str) -> int:
-    return int(file[len("bill_"):-len(".jpg")])
-
-
 @query
 def extract_with_retry(spark, sf):
     tried: dict = {}
