@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billflow.llm import quality_rules
+from billflow.llm import quality_rules, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    return token_counts.with_token_counts(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.learn_rules(
@@ -21,6 +29,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_token_counts": op8_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
 
