@@ -7,13 +7,18 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billflow.llm import quality_rules, token_counts
+from billflow.llm import quality_rules, substring_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_copies(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "n_removed", "n_spans")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
     return token_counts.with_token_counts(table(spark, sf_dir, "documents"), vocabulary)
@@ -29,6 +34,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op8_token_counts": op8_token_counts,
     "op10_quality_rules": op10_quality_rules,
 }
