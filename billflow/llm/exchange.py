@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 BUCKET_BYTES = 8 << 20  # of text behind one bucket
+_DOCUMENTS = ("doc", "own")  # columns of document ids
 
 
 def buckets_for(docs: DataFrame, bytes_each: int = BUCKET_BYTES) -> int:
@@ -25,9 +26,9 @@ def buckets_for(docs: DataFrame, bytes_each: int = BUCKET_BYTES) -> int:
 def packed(bucket: np.ndarray, columns: dict[str, np.ndarray], n_buckets: int,
            kinds: dict[str, type]) -> pa.RecordBatch:
     """One row for each bucket that occurs: its number and, as bytes, its part of each column of `kinds`
-    (nothing where `columns` lacks it). Within a bucket rows are sorted by `doc`, which is stored as
+    (nothing where `columns` lacks it). Within a bucket rows are sorted by document; documents are stored as
     compressed differences."""
-    order = np.lexsort((columns["doc"], bucket))
+    order = np.lexsort((next(columns[c] for c in _DOCUMENTS if c in columns), bucket))
     bounds = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
     filled = np.flatnonzero(np.diff(bounds))
     out = [pa.array(filled.astype(np.int32))]
@@ -37,7 +38,7 @@ def packed(bucket: np.ndarray, columns: dict[str, np.ndarray], n_buckets: int,
             continue
         data = np.ascontiguousarray(columns[name][order].astype(kind, copy=False))
         parts = [data[bounds[i]:bounds[i + 1]] for i in filled.tolist()]
-        if name == "doc":
+        if name in _DOCUMENTS:
             parts = [zlib.compress(np.diff(x, prepend=0).tobytes(), 1) for x in parts]
         else:
             parts = [x.tobytes() for x in parts]
@@ -48,9 +49,9 @@ def packed(bucket: np.ndarray, columns: dict[str, np.ndarray], n_buckets: int,
 def unpacked(table: pa.Table, kinds: dict[str, type]) -> dict[str, np.ndarray]:
     """The columns of all rows of a bucket, joined."""
     def plain(name: str, kind: type) -> np.ndarray:
-        if name == "doc":
+        if name in _DOCUMENTS:
             parts = [np.cumsum(np.frombuffer(zlib.decompress(x.as_buffer()), dtype=kind))
-                     for x in table.column(name)]
+                     for x in table.column(name) if len(x.as_buffer())]
         else:
             parts = [np.frombuffer(x.as_buffer(), dtype=kind) for x in table.column(name)]
         return np.concatenate(parts or [np.zeros(0, dtype=kind)])

@@ -7,13 +7,17 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billflow.llm import quality_rules, substring_dedup, token_counts
+from billflow.llm import jaccard_join, quality_rules, substring_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_components(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.without_copies(table(spark, sf_dir, "documents")).select(
         "doc_id", "text", "n_removed", "n_spans")
@@ -34,6 +38,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_substring_dedup": op2_substring_dedup,
     "op8_token_counts": op8_token_counts,
     "op10_quality_rules": op10_quality_rules,
