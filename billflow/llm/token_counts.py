@@ -29,7 +29,7 @@ from billflow.llm.arrays import pieces
 
 CHUNK = 8192  # characters
 SCANNED = 64  # chunks whose maps are held at once
-WORDS, STATES = 400_000, 120_000  # how many paths of words, and states, are kept
+WORDS, STATES = 1_000_000, 250_000  # how many paths of words, and states, are kept
 
 # fixed values: white space and the contractions of the vocabulary's splitting pattern
 SPACE = "\t-\r \x85\xa0  -     　"
