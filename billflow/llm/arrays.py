@@ -83,9 +83,10 @@ def _cuts(bounds: np.ndarray, separator: np.ndarray) -> list[int]:
     return [*cuts, total] if cuts[-1] < total else cuts
 
 
-def words(data: np.ndarray, bounds: np.ndarray, lower: bool = True
+def words(data: np.ndarray, bounds: np.ndarray, lower: bool = True, head: int | None = None
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each word `[^\\x20\\x09-\\x0D]+`: where it begins and ends, a 64-bit hash, its text's index."""
+    """Of each word `[^\\x20\\x09-\\x0D]+`: where it begins and ends, a 64-bit hash (of no more
+    than `head` bytes), its text's index."""
     separator = _SEPARATOR[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[bounds] = True
@@ -101,8 +102,9 @@ def words(data: np.ndarray, bounds: np.ndarray, lower: bool = True
         part = _LOWER[data[low:high]] if lower else data[low:high]
         sums = np.zeros(high - low + 1, dtype=np.uint64)
         np.cumsum(_BYTE[part] * _power("up", high - low), out=sums[1:])
-        value = (sums[last] - sums[first]) * _power("down", high - low)[first]
-        hashes.append(mix(value ^ (last - first).astype(np.uint64)))
+        to = last if head is None else np.minimum(last, first + head)
+        value = (sums[to] - sums[first]) * _power("down", high - low)[first]
+        hashes.append(mix(value ^ (to - first).astype(np.uint64)))
         starts.append(first + low)
         ends.append(last + low)
     if not starts:

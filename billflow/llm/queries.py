@@ -7,7 +7,7 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billflow.llm import jaccard_join, quality_rules, substring_dedup, token_counts
+from billflow.llm import jaccard_join, mixing, quality_rules, substring_dedup, token_counts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_token_counts(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"),
+                        mixing.domain_labels(table(spark, sf_dir, "labels")))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rules = quality_rules.learn_rules(
@@ -41,6 +46,7 @@ QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_substring_dedup": op2_substring_dedup,
     "op8_token_counts": op8_token_counts,
+    "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
 
