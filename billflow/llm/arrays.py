@@ -28,8 +28,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most PIECE bytes of text (a longer text stands alone)."""
+def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", size: int = PIECE
+           ) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most `size` bytes of text (a longer text stands alone)."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -38,7 +39,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
         first = 0
         while first < batch.num_rows:
             before = ends[first - 1] if first else 0
-            last = max(first + 1, int(np.searchsorted(ends, before + PIECE, "right")))
+            last = max(first + 1, int(np.searchsorted(ends, before + size, "right")))
             yield batch.slice(first, last - first)
             first = last
 

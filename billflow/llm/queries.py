@@ -7,7 +7,8 @@ from pathlib import Path
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from billflow.llm import jaccard_join, mixing, quality_rules, substring_dedup, token_counts
+from billflow.llm import (
+    jaccard_join, mixing, quality_rules, sentence_pieces, substring_dedup, token_counts)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", "n_removed", "n_spans")
 
 
+def piece_vocabulary() -> sentence_pieces.Vocabulary:
+    return sentence_pieces.read_model(
+        Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes())
+
+
+def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.encode_decode(table(spark, sf_dir, "documents"), piece_vocabulary())
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
     return token_counts.with_token_counts(table(spark, sf_dir, "documents"), vocabulary)
@@ -45,6 +55,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_sentence_pieces": op3_sentence_pieces,
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
