@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from billflow.llm import (
-    jaccard_join, mixing, quality_rules, sentence_pieces, substring_dedup, token_counts)
+    jaccard_join, mixing, quality_rules, sentence_pieces, substring_dedup, suffix_dedup,
+    token_counts)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,10 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_decode(table(spark, sf_dir, "documents"), piece_vocabulary())
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
     return token_counts.with_token_counts(table(spark, sf_dir, "documents"), vocabulary)
@@ -56,6 +61,7 @@ QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
