@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from billflow.llm import (
-    jaccard_join, mixing, quality_rules, sentence_pieces, substring_dedup, suffix_dedup,
+    chat_tree, jaccard_join, mixing, quality_rules, sentence_pieces, substring_dedup, suffix_dedup,
     token_counts)
 
 
@@ -34,6 +34,14 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_decode(table(spark, sf_dir, "documents"), piece_vocabulary())
 
 
+def op5_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                    "conv_id long, turn long, role string, text string")
+    return chat_tree.read_back(chat_tree.build(rows.unionByName(planted)))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -61,6 +69,7 @@ QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,
+    "op5_chat_tree": op5_chat_tree,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
