@@ -12,8 +12,8 @@ PIECE = 4 << 20  # bytes of text worked on at once
 
 _SEPARATOR = np.zeros(256, dtype=bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _RANDOM = np.random.RandomState(20240229)
 _BYTE = _RANDOM.randint(0, 1 << 62, 256).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -100,7 +100,7 @@ def words(data: np.ndarray, bounds: np.ndarray, lower: bool = True, head: int |
         finish = inside.copy()
         finish[:-1] &= ~inside[1:] | edge[low + 1:high]
         first, last = np.flatnonzero(begin), np.flatnonzero(finish) + 1
-        part = _LOWER[data[low:high]] if lower else data[low:high]
+        part = LOWER[data[low:high]] if lower else data[low:high]
         sums = np.zeros(high - low + 1, dtype=np.uint64)
         np.cumsum(_BYTE[part] * _power("up", high - low), out=sums[1:])
         to = last if head is None else np.minimum(last, first + head)

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from billflow.llm import (
-    chat_tree, jaccard_join, mixing, quality_rules, sentence_pieces, substring_dedup, suffix_dedup,
-    token_counts)
+    chat_tree, context_tree, jaccard_join, mixing, quality_rules, sentence_pieces,
+    substring_dedup, suffix_dedup, token_counts)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op5_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_tree.read_back(chat_tree.build(rows.unionByName(planted)))
 
 
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scored(table(spark, sf_dir, "documents"))
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -70,6 +74,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,
     "op5_chat_tree": op5_chat_tree,
+    "op6_context_tree": op6_context_tree,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
