@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from billflow.llm.ranges import running_sum
 from billflow.workspace import written
 
 # fixed values: the control strings of the template
@@ -69,23 +70,6 @@ class ChatTree:
     paths: DataFrame  # conv_id, depth, one, two: the nodes of each conversation
 
 
-def _numbered(rows: DataFrame, order: list[str], size: Column, name: str) -> DataFrame:
-    """The running sum of `size` before each row in a global order: within ranges of the order, plus what
-    the ranges before hold (one small row for each range)."""
-    parts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    placed = written(rows.withColumn("_size", size).repartitionByRange(parts, *order)
-                     .withColumn("_range", F.spark_partition_id()), "chat-ranges")
-    held = placed.groupBy("_range").agg(F.sum("_size").alias("_held"))
-    before = held.select("_range", F.coalesce(F.sum("_held").over(
-        Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_before"))
-    inside = Window.partitionBy("_range").orderBy(*order)
-    own = F.coalesce(F.sum("_size").over(inside.rowsBetween(Window.unboundedPreceding, -1)),
-                     F.lit(0))
-    return placed.withColumn("_own", own).join(before, "_range").withColumn(
-        name, F.col("_own") + F.col("_before")).drop("_own", "_before", "_range", "_size")
-
-
 def build(conversations: DataFrame) -> ChatTree:
     rows = conversations.filter(F.col("conv_id").isNotNull()).select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
@@ -105,13 +89,13 @@ def build(conversations: DataFrame) -> ChatTree:
     alone = turns.join(first, "conv_id", "left_semi")
     ways = alone.groupBy("conv_id").agg(F.transform(F.sort_array(F.collect_list(
         F.struct("depth", "step"))), lambda x: x["step"]).alias("way"))
-    ranked = _numbered(ways, ["way", "conv_id"], F.lit(1).cast("long"), "rank").drop("way")
+    ranked = running_sum(ways, ["way", "conv_id"], F.lit(1).cast("long"), "rank").drop("way")
     nodes = alone.join(ranked, "conv_id").groupBy(*NODE).agg(
         F.min("rank").alias("rank"), F.min(F.struct("role", "text")).alias("turn"))
     segment = formatted(F.col("turn.role"), F.col("turn.text"))
     nodes = nodes.select(*NODE, "rank", segment.alias("segment"),
                          (F.col("turn.role") == "assistant").alias("learned"))
-    nodes = written(_numbered(nodes, ["rank", "depth"], F.length("segment").cast("long"), "at"),
+    nodes = written(running_sum(nodes, ["rank", "depth"], F.length("segment").cast("long"), "at"),
                     "chat-nodes")
     # ancestors along the conversation that places the node
     way = Window.partitionBy("conv_id").orderBy("depth")

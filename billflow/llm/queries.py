@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from billflow.llm import (
-    chat_tree, context_tree, jaccard_join, mixing, quality_rules, sentence_pieces,
-    substring_dedup, suffix_dedup, token_counts)
+    chat_tree, context_tree, jaccard_join, mixing, quality_rules, sampled_fingerprints,
+    sentence_pieces, substring_dedup, suffix_dedup, token_counts)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op3_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_decode(table(spark, sf_dir, "documents"), piece_vocabulary())
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_fingerprints.with_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op5_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -73,6 +77,7 @@ QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,
+    "op4_fingerprints": op4_fingerprints,
     "op5_chat_tree": op5_chat_tree,
     "op6_context_tree": op6_context_tree,
     "op7_suffix_dedup": op7_suffix_dedup,
