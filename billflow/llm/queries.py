@@ -73,7 +73,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_jaccard_join": op1_jaccard_join,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_sentence_pieces": op3_sentence_pieces,

@@ -130,10 +130,13 @@ def without_copies(docs: DataFrame, least: int = LEAST) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField("n_removed", T.LongType()),
                            T.StructField("n_spans", T.LongType())])
     names = docs.columns
+    digests = "_keys"
+    while digests in names:
+        digests = f"_{digests}"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            column, found = batch.column("text"), batch.column("_keys")
+            column, found = batch.column("text"), batch.column(digests)
             hit = np.flatnonzero(pc.is_valid(found).to_numpy(zero_copy_only=False))
             removed = np.zeros(batch.num_rows, dtype=np.int64)
             count = np.zeros(batch.num_rows, dtype=np.int64)
@@ -155,7 +158,8 @@ def without_copies(docs: DataFrame, least: int = LEAST) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*rest, pa.array(removed), pa.array(count)], names=schema.names)
 
-    keys = copied_chunks(docs)
-    joined = docs.join(keys, docs["doc_id"] == keys["_doc"], "left").select(
-        *[docs[f"`{n}`"] for n in names], "_keys")
+    keys = copied_chunks(docs).select(F.col("_doc").alias(f"{digests}_of"),
+                                      F.col("_keys").alias(digests))
+    joined = docs.join(keys, docs["doc_id"] == keys[f"{digests}_of"], "left").select(
+        *[docs[f"`{n}`"] for n in names], digests)
     return joined.mapInArrow(cut, schema)
