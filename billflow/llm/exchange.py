@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 BUCKET_BYTES = 8 << 20  # of text behind one bucket
@@ -40,6 +41,8 @@ def packed(bucket: np.ndarray, columns: dict[str, np.ndarray], n_buckets: int,
         parts = [data[bounds[i]:bounds[i + 1]] for i in filled.tolist()]
         if name in _DOCUMENTS:
             parts = [zlib.compress(np.diff(x, prepend=0).tobytes(), 1) for x in parts]
+        elif np.dtype(kind).kind == "V":  # strings of bytes
+            parts = [zstandard.compress(x.tobytes(), 3) for x in parts]
         else:
             parts = [x.tobytes() for x in parts]
         out.append(pa.array(parts, pa.binary()))
@@ -52,6 +55,9 @@ def unpacked(table: pa.Table, kinds: dict[str, type]) -> dict[str, np.ndarray]:
         if name in _DOCUMENTS:
             parts = [np.cumsum(np.frombuffer(zlib.decompress(x.as_buffer()), dtype=kind))
                      for x in table.column(name) if len(x.as_buffer())]
+        elif np.dtype(kind).kind == "V":
+            parts = [np.frombuffer(zstandard.decompress(x.as_buffer()), dtype=kind)
+                     for x in table.column(name) if len(x.as_buffer())]
         else:
             parts = [np.frombuffer(x.as_buffer(), dtype=kind) for x in table.column(name)]
         return np.concatenate(parts or [np.zeros(0, dtype=kind)])

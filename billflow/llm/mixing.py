@@ -193,8 +193,8 @@ def rate_of(gaps: list[list[float]], names: list[str], step: float = 1.0) -> Col
 
 def fit(scored: DataFrame, targets: dict[str, float], steps: int = 30, close: float = 5e-3
         ) -> list[list[float]]:
-    """The gaps of each step. The total aimed at is the largest that needs no domain more often than it
-    is there, so rates stay near or below 1."""
+    """The gaps of each step. The total aimed at leaves the domain of the largest target as it is: others
+    are thinned out, or repeated where they are scarce."""
     names = list(targets)
 
     def expected(gaps: list[list[float]]) -> list[float]:
@@ -205,12 +205,13 @@ def fit(scored: DataFrame, targets: dict[str, float], steps: int = 30, close: fl
         return [row[n] or 0.0 for n in names]
 
     there = expected([])
-    total = min([e / targets[n] for e, n in zip(there, names) if targets[n] > 0] or [0.0])
+    top = max(range(len(names)), key=lambda k: targets[names[k]])
+    total = there[top] / targets[names[top]]
     goal = [targets[n] * total for n in names]
     gaps: list[list[float]] = []
     now = there
     while len(gaps) < steps:
-        gap = [(e - g) / s if s else 0.0 for e, g, s in zip(now, goal, there)]
+        gap = [(e - g) / max(s, g) if s else 0.0 for e, g, s in zip(now, goal, there)]
         if max(map(abs, gap)) < close:
             break
         gaps.append(gap)

@@ -218,17 +218,19 @@ def _refined(got: dict[str, np.ndarray]) -> pa.Table:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes (`kept`, binary) of each row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    nameless = docs.filter(F.col("doc_id").isNull())
+    docs = docs.filter(F.col("doc_id").isNotNull())  # so that both joins below share one exchange
     n_buckets = buckets_for(docs)
     shared = written(exchange(docs, _send_grams(n_buckets), _SHARED, _shared_grams,
                               "_doc long, _key long").groupBy("_doc").agg(
         F.collect_set("_key").alias("_keys")), "suffix-grams")
-    some = docs.join(shared, docs["doc_id"] == shared["_doc"], "left").select(
-        "doc_id", "text", "_keys")
-    spans = exchange(some.filter(F.col("_keys").isNotNull()), _send_around(n_buckets), _AROUND,
+    some = docs.join(shared, docs["doc_id"] == shared["_doc"]).select("doc_id", "text", "_keys")
+    spans = exchange(some, _send_around(n_buckets), _AROUND,
                      _refined, "_doc long, _span long").groupBy("_doc").agg(
         F.collect_set("_span").alias("_spans"))
     both = docs.join(spans, docs["doc_id"] == spans["_doc"], "left").select(
-        "doc_id", "text", "_spans")
+        "doc_id", "text", "_spans").unionByName(nameless.withColumn(
+            "_spans", F.lit(None).cast("array<long>")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):

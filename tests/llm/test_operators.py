@@ -224,9 +224,10 @@ def test_fingerprints(docs, texts, empty):
         edited = text[:len(text) - cut] + other[:cut]
         assert (r.n_chars, r.edited_sha256) == (len(text), sha(edited))
         assert prints.setdefault(text, r.fingerprint) == r.fingerprint
-        far += [r.near_edited - alike(text, edited), r.near_next - alike(text, other)]
+        if min(len(weights(text)), len(weights(other))) > 60:  # enough terms to fill the samples
+            far += [r.near_edited - alike(text, edited), r.near_next - alike(text, other)]
     assert len(rows) == len(texts)
-    assert abs(sum(far) / len(far)) < 0.05 and max(map(abs, far)) < 0.5
+    assert abs(sum(far) / len(far)) < 0.05 and max(map(abs, far)) < 0.35
     assert sampled_fingerprints.with_fingerprints(empty).count() == 0
 
 
