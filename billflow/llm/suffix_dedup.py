@@ -217,7 +217,9 @@ def _refined(got: dict[str, np.ndarray]) -> pa.Table:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes (`kept`, binary) of each row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if dict(docs.dtypes)["doc_id"] != "bigint":
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = docs.select("doc_id", "text")
     nameless = docs.filter(F.col("doc_id").isNull())
     docs = docs.filter(F.col("doc_id").isNotNull())  # so that both joins below share one exchange
     n_buckets = buckets_for(docs)
