@@ -28,8 +28,8 @@ from pyspark.sql import DataFrame
 from billflow.llm.arrays import pieces
 
 MARK = "▁"  # fixed value: the blank in vocabulary files
-BATCH = 16 << 20  # bytes of text whose words are sorted together
-PAIRS = 600_000  # how many decisions on neighbours are kept
+BATCH = 4 << 20  # bytes of text whose words are sorted together
+PAIRS = 200_000  # how many decisions on neighbours are kept
 
 
 @dataclass
