@@ -70,7 +70,7 @@ def documents(spark: SparkSession, sf_dir: str, items: bool = True,
             k % 7 == 1, "null").otherwise(tax)
         number = F.when(k % 7 == 0, F.concat(number, F.lit("-B"))).otherwise(number)
     kind = F.col("class")
-    total = F.when(kind == "total_text", '"three hundred dollars"').when(
+    total = F.when(kind == "total_text", '"forty and a half"').when(
         kind == "total_numeric_text", F.concat(F.lit('"'), F.col("total_amount"), F.lit('"'))
     ).otherwise(F.col("total_amount").cast("string"))
 

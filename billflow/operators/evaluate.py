@@ -16,11 +16,14 @@ from billflow.sources.payloads import extracted_fields, open_fields
 
 
 def parse_attempts(attempts: DataFrame, payload: str = "payload") -> DataFrame:
-    """(file, model, error, extracted): a payload that is no JSON becomes that row's error."""
+    """(file, model, error, extracted): a payload that is no JSON object becomes that row's error, as does
+    a truthy ``error`` member of it."""
     parsed = computed_once(attempts.select("file", "model", "error", payload),
                            _open=open_fields(parse_json(F.col(payload))))
     opened = F.col("_open")
-    failed = F.coalesce(F.col("error"), F.when(opened.isNull(), "payload is no JSON object"))
+    said = F.get_json_object(payload, "$.error")
+    failed = F.coalesce(F.col("error"), F.when(opened.isNull(), "payload is no JSON object"),
+                        F.when(~said.isin("", "false", "0", "null"), said))
     return computed_once(
         parsed, error=failed, extracted=F.when(failed.isNull(), extracted_fields(opened))
     ).select("file", "model", "error", "extracted")
@@ -124,22 +127,29 @@ def field_metrics(scored: DataFrame, models: Sequence[str], matcher: str = "leni
     """(model, field, correct, total).
 
     ``total`` is the number of bills with any result - the same for every cell - so the
-    bill x model x field grid is never built: six sums per model are enough. ``all_bills``
-    (a ``file`` column) makes bills without any result count too.
+    bill x model x field grid is never built. The attempts are read once: a row per bill says which
+    cells some attempt got right, so an attempt delivered twice counts once. ``all_bills`` (a
+    ``file`` column) makes bills without any result count too.
     """
     flags = correct_flags(scored, matcher)
-    sums = scored.groupBy("model").agg(
-        *[F.count_if(flag).alias(f) for f, flag in flags.items()])
-    bills = (scored if all_bills is None else all_bills).agg(
-        F.count_distinct("file").alias("n")).scalar()
-    listed = scored.sparkSession.range(1).select(
-        F.explode(F.array(*[F.lit(m) for m in models])).alias("model"))
-    filled = listed.join(sums, "model", "left").fillna(0)
-    return filled.unpivot(["model"], list(FIELDS), "field", "correct").withColumn("total", bills)
+    cells = {f"{i}_{f}": (m, f) for i, m in enumerate(models) for f in FIELDS}
+    flat = scored.select("file", "model", *[flag.alias(f) for f, flag in flags.items()])
+    bills = flat.groupBy("file").agg(*[
+        F.max(F.when(F.col("model") == m, F.col(f).cast("int"))).alias(c)
+        for c, (m, f) in cells.items()])
+    sums = bills.agg(F.count(F.lit(1)).alias("total"), *[
+        F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cells])
+    if all_bills is not None:
+        sums = sums.withColumn("total", all_bills.agg(F.count_distinct("file")).scalar())
+    return sums.select("total", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.lit(f).alias("field"), F.col(c).alias("correct"))
+        for c, (m, f) in cells.items()])).alias("cell")).select(
+        "cell.model", "cell.field", "cell.correct", "total")
 
 
 def accuracy_pct(correct: Column, total: Column) -> Column:
-    return F.when(total == 0, 0).otherwise(F.round(correct / total * 100)).cast("int")
+    """A whole percentage; null where there are no results."""
+    return F.when(total > 0, F.round(correct / total * 100)).cast("int")
 
 
 def field_accuracy(metrics: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from billflow.functions.text import invoice_fingerprint
-from billflow.operators.lookup import insert_only_new, next_id, number_rows, salted_lookup
+from billflow.operators.lookup import insert_only_new, keyed_lookup, next_id, number_rows
 from billflow.operators.validate import unnest_line_items
 from billflow.schemas import AMOUNT_TYPE, QUANTITY_TYPE
 
@@ -55,17 +55,14 @@ def upsert_vendors(current: DataFrame, rows: DataFrame) -> DataFrame:
         "vendor_id", "vendor_name", F.lit(None).cast("string").alias("tax_id")))
 
 
-def lookup_vendor_id(rows: DataFrame, vendors: DataFrame, spread_by: str = "seq") -> DataFrame:
+def lookup_vendor_id(rows: DataFrame, vendors: DataFrame) -> DataFrame:
     """Attach the vendor id by name; one vendor may own a large share of the rows."""
-    return salted_lookup(rows, vendors.select("vendor_name", "vendor_id"), ["vendor_name"],
-                         [spread_by])
+    return keyed_lookup(rows, vendors.select("vendor_name", "vendor_id"), ["vendor_name"])
 
 
-def lookup_invoice_id(rows: DataFrame, invoices: DataFrame,
-                      spread_by: str = "position") -> DataFrame:
+def lookup_invoice_id(rows: DataFrame, invoices: DataFrame) -> DataFrame:
     """Attach the invoice id by fingerprint."""
-    return salted_lookup(rows, invoices.select("invoice_hash", "invoice_id"), ["invoice_hash"],
-                         [spread_by])
+    return keyed_lookup(rows, invoices.select("invoice_hash", "invoice_id"), ["invoice_hash"])
 
 
 def upsert_invoices(current: DataFrame, batch: DataFrame) -> DataFrame:

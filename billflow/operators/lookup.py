@@ -8,20 +8,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from billflow.workspace import written
 
-SALTS = 8
 
 
-def salted_lookup(many: DataFrame, one: DataFrame, keys: Sequence[str], spread_by: Sequence[str],
-                  how: str = "inner", salts: int = SALTS) -> DataFrame:
+def keyed_lookup(many: DataFrame, one: DataFrame, keys: Sequence[str], how: str = "inner"
+                 ) -> DataFrame:
     """Join a large side to a side that is unique per key.
 
-    A hot key's rows are spread over ``salts`` partitions by a hash of ``spread_by`` (stable
-    under task retries); the unique, narrow side is repeated once per salt. A small ``one``
-    side is broadcast by Spark's own size check and then no row moves at all.
+    Adaptive execution splits a hot key's partition of the large side by its measured size and reads the
+    unique side's one row again for each part; nothing is repeated where no key is hot. A small
+    ``one`` side is broadcast by Spark's own size check and then no row moves at all.
     """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    repeated = one.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return many.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return many.join(one, list(keys), how)
 
 
 def known_keys(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -175,13 +175,18 @@ def load_errors(invoice: str = "_typed") -> Column:
     return F.expr(f"concat({of_header}, {_item_listing(f'{invoice}.line_items', item_checks)})")
 
 
+def _told(documents: DataFrame) -> list[Column]:
+    """What the extractor said about documents it failed on, where such columns came along."""
+    return [F.col(c) for c in ("error", "error_message") if c in documents.columns]
+
+
 def validate(documents: DataFrame, raw: str = "raw", strict: bool = False) -> DataFrame:
     """Adds ``invoice`` (typed, null if invalid), ``errors`` and ``error_type``.
 
     ``error_type`` is null for a document that can be loaded, else ``json``, ``validation`` or
-    ``constraint``. A ready ``error`` column (a failed extractor) becomes ``extractor``.
+    ``constraint``. A ready ``error`` or ``error_message`` (a failed extractor) becomes ``extractor``.
     """
-    failed = F.col("error").isNotNull() if "error" in documents.columns else F.lit(False)
+    failed = F.coalesce(*_told(documents), F.lit(None)).isNotNull()
     parsed = computed_once(documents, _doc=V.parse_json(F.col(raw)))
     read = read_document(parsed, "_doc")
     doc = F.col("_doc")
@@ -221,8 +226,7 @@ def error_message(errors: Column) -> Column:
 def dlq_rows(validated: DataFrame, file: str = "file_name", raw: str = "raw") -> DataFrame:
     """Dead-letter rows of the rejected documents, with their payload kept for review."""
     told = error_message(F.col("errors"))
-    if "error" in validated.columns:
-        told = F.coalesce(F.col("error"), told)
+    told = F.coalesce(*_told(validated), told)
     return rejected(validated).select(
         F.col(file).alias("file_name"), "error_type", told.alias("error_message"),
         F.when(F.col(raw) != "", F.to_json(F.struct(F.col(raw).alias("raw"))))

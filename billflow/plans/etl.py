@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from billflow.operators.validate import validate
 from billflow.plans.store import StagingStore
+from billflow.sources.extract import extract_with_retry
+from billflow.sources.files import admit_images
 
 
 def routing_summary(documents: DataFrame, strict: bool = False) -> DataFrame:
@@ -38,3 +42,20 @@ def load_summary(store: StagingStore, documents: DataFrame) -> DataFrame:
             .withColumn("n_invoices_with_vendor", linked.agg(count).scalar())
             .withColumn("n_items", items.agg(count).scalar())
             .withColumn("n_items_with_invoice", owned.agg(count).scalar()))
+
+
+def run_pipeline(files: DataFrame, extractor: Callable[..., dict], store: StagingStore, batch: int,
+                 writer: str = "batch", **options) -> None:
+    """Admit, extract, validate, load: every file ends in the tables or, with its cause, in the dead-letter
+    table. ``files`` has file_name, mime and seq; ``options`` go to the extractor calls.
+
+    A refused file is not sent to the extractor.
+    """
+    admitted = admit_images(files)
+    refused = admitted.where(F.col("error").isNotNull()).select(
+        "file_name", "seq", F.lit(None).cast("string").alias("raw"),
+        F.col("error").alias("error_message"))
+    called = extract_with_retry(
+        admitted.where(F.col("error").isNull()).select("file_name", "seq"), extractor,
+        **options).select("file_name", "seq", "raw", "error_message")
+    store.load(called.unionByName(refused), batch, writer=writer)

@@ -10,10 +10,16 @@ MIME_BY_EXTENSION = {
     "jpeg": "image/jpeg",
     "png": "image/png",
     "webp": "image/webp",
+    "gif": "image/gif",
+    "bmp": "image/bmp",
+    "tif": "image/tiff",
+    "tiff": "image/tiff",
+    "heic": "image/heic",
+    "avif": "image/avif",
+    "svg": "image/svg+xml",
     "pdf": "application/pdf",
 }
 UNKNOWN_MIME = "application/octet-stream"
-BILL_FILES = "*.{jpg,jpeg,png,webp,pdf}"
 # The refusal text.
 NOT_AN_IMAGE = "Please upload an image file."
 
@@ -24,8 +30,9 @@ def mime_type(file: Column) -> Column:
     return F.coalesce(F.try_element_at(known, extension), F.lit(UNKNOWN_MIME))
 
 
-def scan_files(spark: SparkSession, directory: str, pattern: str = BILL_FILES) -> DataFrame:
-    """One row per file; the bytes are read only if ``content`` is selected."""
+def scan_files(spark: SparkSession, directory: str, pattern: str = "*") -> DataFrame:
+    """One row per file of any kind (``admit_images`` says which are refused, and why); the bytes are
+    read only if ``content`` is selected."""
     found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option(
         "recursiveFileLookup", "true").load(directory)
     name = F.regexp_extract("path", r"([^/]+)\z", 1)

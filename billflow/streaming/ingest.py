@@ -30,9 +30,11 @@ def _trigger(pace: str | None) -> dict:
 
 def stream_ingest(documents: DataFrame, store: StagingStore, checkpoint: str,
                   pace: str | None = None) -> StreamingQuery:
-    """Validate, route and upsert each micro-batch; a batch number is loaded at most once."""
+    """Validate, route and upsert each micro-batch, each at most once. The writer's name is the checkpoint,
+    whose numbers start again with it."""
+    writer = f"stream {checkpoint}"
     return (documents.writeStream
-            .foreachBatch(lambda batch, batch_id: store.load(batch, batch_id))
+            .foreachBatch(lambda batch, number: store.load(batch, number, writer=writer))
             .option("checkpointLocation", checkpoint)
             .trigger(**_trigger(pace)).start())
 
