@@ -20,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ from billflow.llm.arrays import pieces
 MARK = "▁"  # fixed value: the blank in vocabulary files
 BATCH = 4 << 20  # bytes of text whose words are sorted together
 PAIRS = 200_000  # how many decisions on neighbours are kept
+KEPT = 100_000  # how many words are kept with their ids from batch to batch
+SHORT = 32  # characters of a word that is kept
 
 
 @dataclass
@@ -45,6 +48,7 @@ class Vocabulary:
     cut_line: bool = False
     _apart: dict = field(default_factory=dict)
     _whole: dict = field(default_factory=dict)
+    _words: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if not self.ids:
@@ -168,7 +172,13 @@ def encode_texts(vocabulary: Vocabulary, texts: list[str | None]) -> pa.Array:
     distinct: set[str] = set()
     for words in split:
         distinct.update(words)
-    ids = encode_words(vocabulary, list(distinct))
+    kept = vocabulary._words
+    ids = {w: kept[w] for w in distinct if w in kept}
+    fresh = encode_words(vocabulary, [w for w in distinct if w not in kept])
+    ids.update(fresh)
+    if len(kept) + len(fresh) > KEPT:
+        kept.clear()
+    kept.update(islice(((w, x) for w, x in fresh.items() if len(w) <= SHORT), KEPT))
     number = {w: k for k, w in enumerate(ids)}
     sizes = np.fromiter(map(len, ids.values()), dtype=np.int64, count=len(ids))
     flat = np.fromiter((i for x in ids.values() for i in x), dtype=np.int32, count=sizes.sum())
@@ -204,13 +214,28 @@ def _piece_bytes(vocabulary: Vocabulary) -> list[bytes]:
     return table
 
 
+def decode_lists(vocabulary: Vocabulary, ids: pa.ListArray) -> pa.Array:
+    """The text of each list: the bytes of all pieces put one after another, then cut by list."""
+    table = _piece_bytes(vocabulary)
+    size = np.fromiter(map(len, table), dtype=np.int64, count=len(table))
+    start = np.cumsum(size) - size
+    flat = ids.values.to_numpy()
+    n = size[flat]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    place = np.repeat(start[flat] - ends[:-1], n) + np.arange(ends[-1])
+    data = np.frombuffer(b"".join(table), dtype=np.uint8)[place].tobytes()
+    bounds = ends[ids.offsets.to_numpy()].tolist()
+    return pa.array([data[i:j].decode("utf-8", "replace").removeprefix(" ") if valid else None
+                     for i, j, valid in zip(bounds, bounds[1:], ids.is_valid().to_pylist())],
+                    pa.string())
+
+
 def encode_decode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, ids, n_pieces and, read back from the ids, the decoded text of each row."""
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, size=BATCH):
             ids = encode_texts(vocabulary, batch.column("text").to_pylist())
-            decoded = pa.array([decode_ids(vocabulary, None if x is None else x.tolist())
-                                for x in _rows(ids)], pa.string())
+            decoded = decode_lists(vocabulary, ids)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), ids, ids.value_lengths().cast(pa.int64()), decoded],
                 names=["doc_id", "ids", "n_pieces", "decoded"])
@@ -218,10 +243,3 @@ def encode_decode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     return docs.select("doc_id", "text").mapInArrow(
         coded, f"doc_id {kind}, ids array<int>, n_pieces long, decoded string")
-
-
-def _rows(ids: pa.Array) -> Iterator[np.ndarray | None]:
-    values = ids.values.to_numpy()
-    bounds, valid = ids.offsets.to_numpy(), ids.is_valid().to_numpy(zero_copy_only=False)
-    for i in range(len(ids)):
-        yield values[bounds[i]:bounds[i + 1]] if valid[i] else None
