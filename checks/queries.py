@@ -96,14 +96,13 @@ def _result(column: str) -> list:
             value["details"].alias("details")]
 
 
-def _stored(spark, rows: DataFrame, purpose: str, by=None) -> str:
-    """Write rows to the shared folder, one file per value of ``by``, for file sources."""
+def _stored(spark, rows: DataFrame, purpose: str, by=None, files: int = 5) -> str:
+    """Write rows to the shared folder, one file for each value 0, 1, ... of ``by``, for file sources."""
     path = fresh_dir(spark, purpose)
-    if by is None:
-        rows.write.parquet(path)
-        return path
-    parts = rows.withColumn("_part", by)
-    parts.repartitionByRange(5, "_part").drop("_part").write.parquet(path)
+    if by is not None:
+        parts = rows.withColumn("_part", by.cast("int"))
+        rows = parts.repartitionById(files, F.col("_part")).drop("_part")
+    rows.write.parquet(path)
     return path
 
 
@@ -467,7 +466,7 @@ def cascade_delete(spark, sf):
     rows = _rows(spark, sf, True)
     vendors = _vendors(spark, sf)
     invoices = number_rows(load.lookup_vendor_id(
-        load.collapse_batch(rows.drop("line_items")), vendors, "invoice_hash"),
+        load.collapse_batch(rows.drop("line_items")), vendors),
         "seq", "invoice_hash", "invoice_id")
     items = load.lookup_invoice_id(load.line_item_rows(rows), invoices)
     doomed = vendors.where(F.col("vendor_name").endswith("7"))
@@ -487,8 +486,7 @@ def distinct_vendors(spark, sf):
 @query
 def vendor_date_rollup(spark, sf):
     invoices = load.lookup_vendor_id(
-        load.collapse_batch(_rows(spark, sf).drop("line_items")), _vendors(spark, sf),
-        "invoice_hash")
+        load.collapse_batch(_rows(spark, sf).drop("line_items")), _vendors(spark, sf))
     return load.vendor_date_rollup(invoices).select(
         "vendor_id", F.date_format("invoice_date", "yyyy-MM-dd").alias("invoice_date"),
         "n_invoices", F.col("total_amount").cast("double").alias("total_amount"),
