@@ -26,7 +26,7 @@ BINS = 1 << 16  # hashed words and word heads
 HEAD = 6  # bytes
 TRAINED_ON = 20_000  # labelled documents at most, the classifier's bounded sample
 USED = 2_000  # most telling bins
-SURE = 4.0  # deviations from chance that a bin needs
+SURE = 2.0  # deviations from chance that a bin needs; a small sample has few bins far beyond
 TARGETS = {"clean": 0.97, "poor": 0.03, "toxic": 0.0}
 
 _IS_UPPER = np.zeros(256, dtype=bool)
@@ -176,8 +176,9 @@ def posteriors(docs: DataFrame, weights: np.ndarray, priors: np.ndarray, names:
     return kept.mapInArrow(score, schema)
 
 
-def rate_of(gaps: list[list[float]], names: list[str], step: float = 1.0) -> Column:
-    """The rate after steps along these gaps, from 1, never below 0."""
+def rate_of(gaps: list[list[float]], names: list[str], step: float = 1.0,
+            most: float | None = None) -> Column:
+    """The rate after steps along these gaps, from 1, never below 0 nor above `most`."""
     rate = F.lit(1.0)
     if not gaps:
         return rate
@@ -187,18 +188,20 @@ def rate_of(gaps: list[list[float]], names: list[str], step: float = 1.0) -> Col
         slope = F.lit(0.0)
         for k, name in enumerate(names):
             slope = slope + F.col(f"p_{name}") * F.get(gap, F.lit(k))
-        return F.greatest(F.lit(0.0), r - F.lit(step) * slope)
+        moved = F.greatest(F.lit(0.0), r - F.lit(step) * slope)
+        return moved if most is None else F.least(F.lit(float(most)), moved)
     return F.aggregate(history, rate, move)
 
 
-def fit(scored: DataFrame, targets: dict[str, float], steps: int = 30, close: float = 5e-3
-        ) -> list[list[float]]:
+def fit(scored: DataFrame, targets: dict[str, float], steps: int = 30, close: float = 5e-3,
+        most: float | None = None) -> list[list[float]]:
     """The gaps of each step. The total aimed at leaves the domain of the largest target as it is: others
-    are thinned out, or repeated where they are scarce."""
+    are thinned out, or repeated where they are scarce. With `most`, no rate goes above it, and the total is
+    what the scarcest domain allows."""
     names = list(targets)
 
     def expected(gaps: list[list[float]]) -> list[float]:
-        rate = rate_of(gaps, names)
+        rate = rate_of(gaps, names, most=most)
         row = scored.select("n_tokens", rate.alias("rate"), *[f"p_{n}" for n in names]).agg(*[
             F.sum(F.col("rate") * F.col("n_tokens") * F.col(f"p_{n}")).alias(n)
             for n in names]).first()
@@ -207,6 +210,9 @@ def fit(scored: DataFrame, targets: dict[str, float], steps: int = 30, close: fl
     there = expected([])
     top = max(range(len(names)), key=lambda k: targets[names[k]])
     total = there[top] / targets[names[top]]
+    if most is not None:
+        total = min([total, *[most * s / targets[n] for n, s in zip(names, there)
+                              if targets[n] and s]])
     goal = [targets[n] * total for n in names]
     gaps: list[list[float]] = []
     now = there
@@ -225,20 +231,22 @@ def _copies() -> Column:
     return F.floor(F.col("rate") + chance)
 
 
-def mixed(docs: DataFrame, domains: DataFrame, targets: dict[str, float] | None = None
-          ) -> DataFrame:
-    """doc_id, n_tokens, p_<domain>, rate and copies of each row."""
+def mixed(docs: DataFrame, domains: DataFrame, targets: dict[str, float] | None = None,
+          most: float | None = None) -> DataFrame:
+    """doc_id, n_tokens, p_<domain>, rate and copies of each row; no rate above `most`."""
     targets = targets or TARGETS
     names = list(targets)
     docs = docs.select("doc_id", "text")
     weights, priors = train(docs, domains, names)
     scored = written(posteriors(docs, weights, priors, names, "doc_id"), "mixing-posteriors")
-    return scored.withColumn("rate", rate_of(fit(scored, targets), names)).withColumn(
-        "copies", _copies())
+    rate = rate_of(fit(scored, targets, most=most), names, most=most)
+    return scored.withColumn("rate", rate).withColumn("copies", _copies())
 
 
 def keep_mixed(docs: DataFrame, domains: DataFrame, targets: dict[str, float] | None = None
                ) -> DataFrame:
-    """The rows of `docs` that the fitted rates keep, each once."""
-    chosen = mixed(docs, domains, targets).filter("copies > 0").select(F.col("doc_id").alias("_id"))
-    return docs.join(chosen.distinct(), docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
+    """The rows of `docs` that the fitted rates keep, each once: rates of at most 1, so that targets are met by
+    leaving out alone."""
+    chosen = mixed(docs, domains, targets, most=1.0).filter("copies > 0").select(
+        F.col("doc_id").alias("_kept_id")).distinct()
+    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_kept_id"]), "left_semi")
