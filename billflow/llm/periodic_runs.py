@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from billflow.llm.arrays import pieces, text_bytes
 
@@ -129,7 +129,7 @@ class Grammar:
         """How many of the lowest symbols from `one` on equal those from `other` on, or up to them if `back`."""
         length = np.zeros(len(one), dtype=np.int64)
         step = -1 if back else 1
-        edge = self.last if back else self.first
+        edge, far = (self.last, self.first) if back else (self.first, self.last)
         who, a, b = np.arange(len(one)), one.astype(np.int64), other.astype(np.int64)
         while len(who):
             above, beside = self.parent[a], self.parent[b]
@@ -137,14 +137,16 @@ class Grammar:
                   & (self.symbol[above] == self.symbol[beside]))
             along = ~up & (self.symbol[a] == self.symbol[b])
             down = ~up & ~along & (edge[a] >= 0)
-            # blocks of one symbol: as many as both have
+            # inside of blocks along to the nearer end, between blocks of one symbol as many as both have
+            rest = np.where((above >= 0) & (self.times[above] > 0) & (self.times[beside] > 0),
+                            np.minimum(np.abs(far[above] - a), np.abs(far[beside] - b)), 0) + 1
             same = np.where(self.repeated[a] == self.repeated[b],
-                            np.minimum(self.times[a], self.times[b]), 0)
+                            np.minimum(self.times[a], self.times[b]), 0).astype(np.int64)
             under = edge[a]
-            length[who] += np.where(along, self.size[a],
-                                    np.where(down, same * self.size[under].astype(np.int64), 0))
-            a = np.where(up, above, np.where(along, a + step, under + step * same))
-            b = np.where(up, beside, np.where(along, b + step, edge[b] + step * same))
+            length[who] += np.where(along, rest * self.size[a],
+                                    np.where(down, same * self.size[under], 0))
+            a = np.where(up, above, np.where(along, a + step * rest, under + step * same))
+            b = np.where(up, beside, np.where(along, b + step * rest, edge[b] + step * same))
             on = up | along | down
             who, a, b = who[on], a[on].astype(np.int64), b[on].astype(np.int64)
         return length
@@ -296,3 +298,49 @@ def with_runs(docs: DataFrame, *keep: str) -> DataFrame:
                 [*[batch.column(f.name) for f in fields], *_answer(batch)], names=names)
 
     return kept.mapInArrow(find, schema)
+
+
+def highest_exponent(runs: Column) -> Column:
+    """Of an array of runs in order the one of greatest length / period, the first of equal ones."""
+    def better(best: Column, run: Column) -> Column:
+        more = run["length"] * best["period"] > best["length"] * run["period"]
+        return F.when(best.isNull() | more, run).otherwise(best)
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    return F.aggregate(runs, none, better)
+
+
+def repeated_tail(words: Column, number: Column) -> Column:
+    """An array of words whose tail is made periodic; where and how follows from a number."""
+    n = F.size(words).cast("bigint")
+    a = F.pmod(number, n)
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + number % 8))
+    at = F.sequence(F.lit(0).cast("bigint"), n - 1)
+    return F.transform(at, lambda i: F.get(
+        words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+
+
+def planted(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """doc_id and text, where every tenth document by the checksum of its id gets a periodic tail. Null ids
+    and texts without words stay as they are."""
+    sum_ = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    chosen = docs.select(F.col(doc_id).alias("doc_id"), "text", F.when(
+        sum_ % 10 == 0, words).alias("_words"), F.floor(sum_ / 10).alias("_number"))
+    return chosen.select("doc_id", F.when(F.size("_words") > 0, F.array_join(
+        repeated_tail(F.col("_words"), F.col("_number")), " ")).otherwise(F.col("text"))
+        .alias("text"))
+
+
+def digests(found: DataFrame) -> DataFrame:
+    """One row for each of `with_runs`: the number of runs, the one of highest exponent, and digests of all
+    runs and of the collapsed text."""
+    best = F.col("_best")
+    lines = F.transform("runs", lambda r: F.concat_ws(
+        ",", *[r[k].cast("string") for k in ("start", "length", "period")]))
+    all_runs = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n")))
+    return found.withColumn("_best", highest_exponent(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(F.coalesce(all_runs, F.lit("")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")).cast("binary"), 256).alias("collapsed_sha256"))

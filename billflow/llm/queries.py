@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from billflow.llm import (
-    chat_tree, context_tree, jaccard_join, mixing, quality_rules, sampled_fingerprints,
-    sentence_pieces, substring_dedup, suffix_dedup, token_counts)
+    byte_pairs, centroids, chat_tree, context_tree, jaccard_join, mixing, periodic_runs, quality_rules,
+    sampled_fingerprints, sentence_pieces, substring_dedup, suffix_dedup, token_counts)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.with_runs(docs, "doc_id"))
+
+
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
+    encoded = byte_pairs.encode(table(spark, sf_dir, "documents"), ranks, "doc_id")
+    return byte_pairs.digests(byte_pairs.decode(encoded, ranks))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.clustered(table(spark, sf_dir, "embeddings")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -90,6 +105,11 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_byte_pairs": op12_byte_pairs,
+    "op13_centroids": op13_centroids,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op13_centroids": centroids.oracle(),
+}
