@@ -453,7 +453,7 @@ SELECT model, field, CASE field WHEN 'vendor_name' THEN 'High (Cursive)'
 SELECT file, model, k AS bill_seq FROM a ORDER BY k, model""",
     # vendor resolution
     "vendor_resolution": _resolution(
-        f"{PAIRS} SELECT DISTINCT extracted AS name FROM q WHERE extracted IS NOT NULL",
+        f"{PAIRS} SELECT DISTINCT extracted AS name FROM q",
         "SELECT p_name AS vendor FROM part"),
     "vendor_resolution_customers": _resolution(
         "SELECT DISTINCT lower(c_name) AS name FROM customer",

@@ -795,7 +795,7 @@ def evaluation_document(spark, sf):
 # Vendor resolution ---------------------------------------------------------------------------
 
 def _resolution(spark, sf, phonetic: bool) -> DataFrame:
-    pairs = X.name_pairs(spark, sf).where(F.col("extracted").isNotNull())
+    pairs = X.name_pairs(spark, sf)
     found = resolve_vendors(pairs, "extracted", X.table(spark, sf, "part"), "p_name", phonetic)
     return found.select("name", "vendor_name", "arm", F.round("score", 6).alias("score"))
 

@@ -10,10 +10,11 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from billflow.functions.similarity import jaro_winkler
 from billflow.functions.text import normalize_vendor
 from billflow.operators import evaluate as E, load, validate as val
 from billflow.operators.lookup import keyed_lookup, number_rows
-from billflow.operators.resolve import RUNGS, needed_share, similar_pairs
+from billflow.operators.resolve import RUNGS, met_pairs, resolve_vendors, similar_pairs, with_tokens
 from billflow.plans.etl import routing_summary, run_pipeline
 from billflow.plans.store import StagingStore
 from billflow.sources.files import admit_images, scan_files
@@ -160,26 +161,68 @@ def names(rng, n):
     return sorted(made - {""})
 
 
-@pytest.mark.parametrize("threshold, size", RUNGS)
-def test_block_keys_lose_no_pair(spark, threshold, size):
-    rng = random.Random(size)
+@pytest.mark.parametrize("threshold", RUNGS)
+def test_block_keys_lose_no_pair(spark, threshold):
+    rng = random.Random(int(threshold * 1000))
     left, right = names(rng, 250), names(rng, 250)
     long = ["a very long vendor name with many words in it " + x for x in ("north", "south")]
-    left, right = left + long[:1] + ["ab", "abc"], right + long[1:] + ["abd", "ba"]
+    longer = [" ".join([long[0]] * 4) + x for x in (" q", " r")]
+    left = left + long[:1] + longer[:1] + ["ab", "abc"]
+    right = right + long[1:] + longer[1:] + ["abd", "ba"]
     df = [spark.createDataFrame([(x,) for x in xs], f"{n} string")
           for xs, n in ((left, "norm"), (right, "v_norm"))]
-    got = {(r[0], r[1]) for r in similar_pairs(*df, threshold, size).collect()}
+    rows = [(r[0], r[1]) for r in similar_pairs(*df, threshold).collect()]
     con = duckdb.connect()
     con.execute("CREATE TABLE l AS SELECT unnest(?) AS a", [left])
     con.execute("CREATE TABLE r AS SELECT unnest(?) AS b", [right])
     want = set(con.execute("SELECT a, b FROM l, r WHERE a <> b AND "
                            f"jaro_winkler_similarity(a, b) > {threshold}").fetchall())
-    assert want and got == want
+    assert want and set(rows) == want
+    assert len(rows) == len(want)  # each pair once
 
 
-def test_rungs_guarantee_their_shared_tokens():
-    for threshold, size in RUNGS:
-        assert needed_share(threshold, size - 1) + 1 >= 1 + (size - 1) / size
+def test_large_blocks_are_split(spark, monkeypatch):
+    """With blocks of very few names every key is cut into parts, and nothing is lost."""
+    from billflow.operators import resolve
+    rng = random.Random(3)
+    left = [f"customer {rng.randrange(10 ** 6):06d}" for _ in range(120)]
+    right = [f"customer {rng.randrange(10 ** 6):06d}" for _ in range(120)]
+    df = [spark.createDataFrame([(x,) for x in sorted(set(xs))], f"{n} string")
+          for xs, n in ((left, "norm"), (right, "v_norm"))]
+    whole = sorted(map(tuple, similar_pairs(*df, 0.92).collect()))
+    monkeypatch.setattr(resolve, "BLOCK", 3)
+    assert whole and sorted(map(tuple, similar_pairs(*df, 0.92).collect())) == whole
+
+
+def test_near_equal_names_meet_fewer_than_all_pairs(spark):
+    """Numbered names that all resemble each other: the rows met at all rungs stay below the number of pairs."""
+    sf = "/root/testdata/sf0.1"
+    customers = spark.read.parquet(f"{sf}/customer.parquet").select(F.regexp_replace(
+        F.lower("c_name"), "#", "").alias("norm"))
+    suppliers = spark.read.parquet(f"{sf}/supplier.parquet").select(F.regexp_replace(
+        "s_name", "Supplier#0", "customer").alias("v_norm"))
+    left = customers.join(suppliers, customers["norm"] == suppliers["v_norm"], "left_anti")
+    n_pairs = left.count() * suppliers.count()
+    left, right = with_tokens(left, suppliers)
+    met = 0
+    for threshold in RUNGS:
+        pairs = met_pairs(left, right, threshold).cache()
+        met += pairs.count()
+        above = pairs.withColumn("s", jaro_winkler(F.col("norm"), F.col("v_norm"))).where(
+            F.col("s") > threshold)
+        left = left.join(above.select("norm"), "norm", "left_anti").cache()
+        if left.isEmpty():
+            break
+    assert met < n_pairs / 2
+
+
+def test_resolution_keeps_null_names(spark):
+    incoming = spark.createDataFrame([(None,), ("Asha Stores",), ("",), (None,)], "name string")
+    vendors = spark.createDataFrame([("Asha Storse",), (None,)], "vendor_name string")
+    got = {r.name: (r.vendor_name, r.arm) for r in resolve_vendors(
+        incoming, "name", vendors, phonetic=False).collect()}
+    assert got == {None: (None, "exact"), "": (None, "exact"),
+                   "Asha Stores": ("Asha Storse", "fuzzy")}
 
 
 def test_ground_truth_file(spark, tmp_path):
