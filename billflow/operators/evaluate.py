@@ -16,9 +16,10 @@ from billflow.sources.payloads import extracted_fields, open_fields
 
 
 def parse_attempts(attempts: DataFrame, payload: str = "payload") -> DataFrame:
-    """(file, model, error, extracted): a payload that is no JSON object becomes that row's error, as does
+    """(file, model, error, extracted), and ``attempt`` where there is one: a payload that is no JSON object becomes that row's error, as does
     a truthy ``error`` member of it."""
-    parsed = computed_once(attempts.select("file", "model", "error", payload),
+    more = [c for c in ("attempt",) if c in attempts.columns]
+    parsed = computed_once(attempts.select("file", "model", "error", payload, *more),
                            _open=open_fields(parse_json(F.col(payload))))
     opened = F.col("_open")
     said = F.get_json_object(payload, "$.error")
@@ -26,7 +27,7 @@ def parse_attempts(attempts: DataFrame, payload: str = "payload") -> DataFrame:
                         F.when(~said.isin("", "false", "0", "null"), said))
     return computed_once(
         parsed, error=failed, extracted=F.when(failed.isNull(), extracted_fields(opened))
-    ).select("file", "model", "error", "extracted")
+    ).select("file", "model", "error", "extracted", *more)
 
 
 def union_models(outputs: Mapping[str, DataFrame]) -> DataFrame:
@@ -122,28 +123,47 @@ def field_unpivot(records: DataFrame, ids: Sequence[str],
     return texts.unpivot(list(ids), list(fields), "field", "value")
 
 
+def cells_of(scored: DataFrame, matcher: str = "lenient") -> DataFrame:
+    """(file, model, attempt, a flag for each field); attempt is 0 where the rows have none."""
+    attempt = F.col("attempt").cast("bigint") if "attempt" in scored.columns else F.lit(0)
+    flags = correct_flags(scored, matcher)
+    return scored.select("file", "model", F.coalesce(attempt, F.lit(0)).cast("bigint").alias(
+        "attempt"), *[F.coalesce(flag, F.lit(False)).alias(f) for f, flag in flags.items()])
+
+
+def attempt_rank() -> Column:
+    """The attempt and its flags as one number: of repeated attempts the greatest is the last one, and of
+    several with the same number always the same one."""
+    rank = F.col("attempt")
+    for f in FIELDS:
+        rank = rank * 2 + F.col(f).cast("int")
+    return rank
+
+
 def field_metrics(scored: DataFrame, models: Sequence[str], matcher: str = "lenient",
                   all_bills: DataFrame | None = None) -> DataFrame:
     """(model, field, correct, total).
 
     ``total`` is the number of bills with any result - the same for every cell - so the
-    bill x model x field grid is never built. The attempts are read once: a row per bill says which
-    cells some attempt got right, so an attempt delivered twice counts once. ``all_bills`` (a
-    ``file`` column) makes bills without any result count too.
+    bill x model x field grid is never built. The attempts are read once: a row per bill holds the
+    flags of each model's last attempt (by an ``attempt`` column, where there is one), so an
+    attempt delivered twice counts once and calling a model again can lower its accuracy, too.
+    ``all_bills`` (a ``file`` column) makes bills without any result count too.
     """
-    flags = correct_flags(scored, matcher)
-    cells = {f"{i}_{f}": (m, f) for i, m in enumerate(models) for f in FIELDS}
-    flat = scored.select("file", "model", *[flag.alias(f) for f, flag in flags.items()])
-    bills = flat.groupBy("file").agg(*[
-        F.max(F.when(F.col("model") == m, F.col(f).cast("int"))).alias(c)
-        for c, (m, f) in cells.items()])
+    ranked = cells_of(scored, matcher).select("file", "model", attempt_rank().alias("rank"))
+    bills = ranked.groupBy("file").agg(*[
+        F.max(F.when(F.col("model") == m, F.col("rank"))).alias(str(i))
+        for i, m in enumerate(models)])
+    bits = {f: len(FIELDS) - 1 - k for k, f in enumerate(FIELDS)}
+    cells = {f"{i}_{f}": (str(i), m, f) for i, m in enumerate(models) for f in FIELDS}
     sums = bills.agg(F.count(F.lit(1)).alias("total"), *[
-        F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cells])
+        F.coalesce(F.sum(F.getbit(F.col(i), F.lit(bits[f]))), F.lit(0)).cast("bigint").alias(c)
+        for c, (i, m, f) in cells.items()])
     if all_bills is not None:
         sums = sums.withColumn("total", all_bills.agg(F.count_distinct("file")).scalar())
     return sums.select("total", F.explode(F.array(*[
         F.struct(F.lit(m).alias("model"), F.lit(f).alias("field"), F.col(c).alias("correct"))
-        for c, (m, f) in cells.items()])).alias("cell")).select(
+        for c, (i, m, f) in cells.items()])).alias("cell")).select(
         "cell.model", "cell.field", "cell.correct", "total")
 
 

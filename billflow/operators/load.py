@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from billflow.functions.text import invoice_fingerprint
 from billflow.operators.lookup import insert_only_new, keyed_lookup, next_id, number_rows
@@ -13,7 +13,7 @@ INSERT_ONLY = ("vendor_name", "invoice_date", "invoice_number")
 UPDATED = ("total_amount", "tax_amount")
 
 
-def load_rows(valid: DataFrame, seq: str = "seq") -> DataFrame:
+def load_rows(valid: DataFrame, seq: str = "seq", *keep: Column | str) -> DataFrame:
     """Accepted documents as flat load rows with fingerprint and column types of the tables."""
     doc = F.col("invoice")
     return valid.select(
@@ -25,7 +25,7 @@ def load_rows(valid: DataFrame, seq: str = "seq") -> DataFrame:
         doc["invoice_number"].alias("invoice_number"),
         doc["total_amount"].cast(AMOUNT_TYPE).alias("total_amount"),
         doc["tax_amount"].cast(AMOUNT_TYPE).alias("tax_amount"),
-        doc["line_items"].alias("line_items"))
+        doc["line_items"].alias("line_items"), *keep)
 
 
 def collapse_batch(rows: DataFrame) -> DataFrame:

@@ -223,14 +223,19 @@ def error_message(errors: Column) -> Column:
         ": ", F.when(e["loc"] != "", e["loc"]), e["type"])), "; ")
 
 
+def dlq_columns(validated: DataFrame, file: str = "file_name", raw: str = "raw") -> list[Column]:
+    """_file_name, _error_message and _raw_payload of a document, with its payload kept for review."""
+    told = F.coalesce(*_told(validated), error_message(F.col("errors")))
+    payload = F.when(F.col(raw) != "", F.to_json(F.struct(F.col(raw).alias("raw"))))
+    return [F.col(file).alias("_file_name"), told.alias("_error_message"),
+            payload.alias("_raw_payload")]
+
+
 def dlq_rows(validated: DataFrame, file: str = "file_name", raw: str = "raw") -> DataFrame:
-    """Dead-letter rows of the rejected documents, with their payload kept for review."""
-    told = error_message(F.col("errors"))
-    told = F.coalesce(*_told(validated), told)
-    return rejected(validated).select(
-        F.col(file).alias("file_name"), "error_type", told.alias("error_message"),
-        F.when(F.col(raw) != "", F.to_json(F.struct(F.col(raw).alias("raw"))))
-        .alias("raw_payload"))
+    """Dead-letter rows of the rejected documents."""
+    name, told, payload = dlq_columns(validated, file, raw)
+    return rejected(validated).select(name, "error_type", told, payload).toDF(
+        "file_name", "error_type", "error_message", "raw_payload")
 
 
 def dlq_compat(dlq: DataFrame) -> DataFrame:

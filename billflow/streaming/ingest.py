@@ -2,18 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from billflow.operators.evaluate import correct_flags
 from billflow.plans.store import StagingStore
-from billflow.schemas import FIELDS
-
-# One bill each 13 seconds, the reference pace of a rate-limited extractor.
-PACE = "13 seconds"
-
 
 def document_stream(spark: SparkSession, directory: str, schema: str,
                     files_per_batch: int | None = None, source: str = "parquet") -> DataFrame:
@@ -47,17 +41,8 @@ def stream_dedup(documents: DataFrame, event_time: str, delay: str,
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def stream_field_metrics(scored: DataFrame, matcher: str = "lenient") -> DataFrame:
-    """Running (model, field) counts; the state is one row per model whatever the volume."""
-    flags = correct_flags(scored, matcher)
-    sums = scored.groupBy("model").agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(flag).alias(f) for f, flag in flags.items()])
-    return sums.unpivot(["model", "total"], list(FIELDS), "field", "correct")
-
-
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append",
-                 keys: Sequence[str] = (), pace: str | None = None) -> StreamingQuery:
+                 pace: str | None = None) -> StreamingQuery:
     """Stream into Parquet: ``append`` adds files, ``complete`` rewrites each batch's result."""
     if mode == "append":
         return (stream.writeStream.format("parquet").option("path", path)
@@ -75,3 +60,22 @@ def latest_result(spark: SparkSession, path: str) -> DataFrame:
     """The last complete result written by :func:`run_to_table`."""
     rows = spark.read.parquet(path)
     return rows.where(F.col("batch_id") == rows.agg(F.max("batch_id")).scalar()).drop("batch_id")
+
+
+def wait_for_rows(query: StreamingQuery, path: str, schema, n_rows: int,
+                  seconds: float = 600.0) -> DataFrame:
+    """The rows that a running stream has written once there are so many; stops the stream."""
+    stop = time.monotonic() + seconds
+    spark = query.sparkSession if hasattr(query, "sparkSession") else SparkSession.active()
+    try:
+        while time.monotonic() < stop:
+            if query.lastProgress is not None:
+                rows = spark.read.schema(schema).parquet(path)
+                if rows.count() >= n_rows:
+                    return rows
+            if query.exception() is not None:
+                raise query.exception()
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    raise TimeoutError(f"{path} has fewer than {n_rows} rows after {seconds} seconds")

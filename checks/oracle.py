@@ -461,10 +461,18 @@ SELECT file, model, k AS bill_seq FROM a ORDER BY k, model""",
     # streaming
     "stream_ingest_upsert": f"""{DOCS}
 SELECT CAST(n_items AS BIGINT) AS n_items, {INVOICE_OUT}, tax_amount FROM ok""",
-    "stream_dedup": f"{HEADS} SELECT invoice_hash FROM ok",
-    "stream_field_metrics": f"""{ATTEMPTS}
-SELECT model, field, correct, total FROM ({FIELD_ROWS.format(SUMS, 'lenient')})
-JOIN (SELECT model, count(*) AS total FROM a GROUP BY model) USING (model)""",
+    "stream_ingest_stateful": f"""{DOCS}
+SELECT CAST(n_items AS BIGINT) AS n_items, {INVOICE_OUT},
+  CASE WHEN k % 5 = 0 THEN {CHANGED_TAX} ELSE tax_amount END AS tax_amount FROM ok""",
+    "stream_dedup": f"""{HEADS}
+SELECT invoice_hash, 'kept' AS outcome, strftime(DATE '2024-05-01' + CAST(k % 5 AS INT), '%Y-%m-%d')
+  AS arrived, false AS has_reason FROM ok
+UNION ALL SELECT invoice_hash, 'late', '2024-04-21', true FROM ok WHERE k % 10 = 1""",
+    "field_metrics_reattempted": f"{_metrics('lenient')} SELECT * FROM metrics",
+    "stream_field_metrics": f"{_metrics('lenient')} SELECT * FROM metrics",
+    "stream_token_bucket": f"""{ATTEMPTS}
+SELECT model, count(*) AS n_released, count(*) AS n_requests, true AS within_pace
+FROM a GROUP BY model""",
     "stream_rate_limit": """
 SELECT o_orderkey % 5 AS batch_id, (SELECT count(*) FROM orders) / 5 * (o_orderkey % 5 + 1)
   AS n_bills FROM orders GROUP BY 1""",

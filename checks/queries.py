@@ -19,7 +19,7 @@ from billflow.plans.etl import load_summary
 from billflow.plans.store import StagingStore
 from billflow.schemas import FIELDS, MODEL_COST_PER_100, MODELS
 from billflow.sources import extract, files, payloads
-from billflow.streaming import ingest
+from billflow.streaming import ingest, state
 from billflow.workspace import fresh_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -836,31 +836,78 @@ def stream_ingest_upsert(spark, sf):
     return _shown(named.withColumn("n_items", F.coalesce("n", F.lit(0))), "n_items")
 
 
+@query
+def stream_ingest_stateful(spark, sf):
+    """Two starts of one stream; the second goes on with the state of the first."""
+    path = _stored(spark, X.documents(spark, sf), "arriving", F.col("k") % 5)
+    store = state.StatefulIngest(spark, fresh_dir(spark, "stateful"))
+    checkpoint = fresh_dir(spark, "checkpoint")
+    again = X.documents(spark, sf, changed=True).where("k % 5 = 0")
+    for arriving in (None, again):
+        if arriving is not None:
+            arriving.coalesce(1).write.mode("append").parquet(path)
+        stream = ingest.document_stream(spark, path, DOCUMENT, files_per_batch=2)
+        store.start(stream, checkpoint).awaitTermination()
+    items = store.line_items().groupBy("invoice_id").agg(F.count(F.lit(1)).alias("n_items"))
+    named = store.invoices().join(store.vendors(), "vendor_name").join(items, "invoice_id", "left")
+    return _shown(named.withColumn("n_items", F.coalesce("n_items", F.lit(0))), "n_items")
+
+
+def _arrivals(spark, sf) -> str:
+    """Fingerprints with their time of arrival, in six files: part p arrives on day p and again on day p + 1; with
+    the last file come some that were on their way since long before."""
+    first = F.lit("2024-05-01 00:00:00").cast("timestamp")
+    rows = written(_rows(spark, sf).select(
+        "invoice_hash", F.substring_index("invoice_number", "-", -1).cast("bigint").alias("k")),
+        "arrivals")
+    path = fresh_dir(spark, "arriving")
+    for day in range(6):
+        parts = rows.where(F.col("k") % 5 == day).unionByName(rows.where(F.col("k") % 5 == day - 1))
+        stamped = parts.withColumn("arrived", first + F.make_interval(days=F.lit(day)))
+        if day == 5:
+            lost = first - F.make_interval(days=F.lit(10))
+            stamped = stamped.unionByName(rows.where("k % 10 = 1").withColumn("arrived", lost))
+        stamped.drop("k").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 @query
 def stream_dedup(spark, sf):
-    rows = _rows(spark, sf).drop("line_items").withColumn(
-        "event_time", F.col("invoice_date").cast("timestamp"))
-    path = _stored(spark, rows, "arriving")
-    again = _rows(spark, sf, changed=True).drop("line_items").withColumn(
-        "event_time", F.col("invoice_date").cast("timestamp"))
-    again.write.mode("append").parquet(path)
-    stream = ingest.document_stream(spark, path, rows.schema, files_per_batch=4)
-    kept = ingest.stream_dedup(stream, "event_time", "3000 days").select("invoice_hash")
+    stream = ingest.document_stream(spark, _arrivals(spark, sf),
+                                    "invoice_hash string, arrived timestamp", files_per_batch=1)
     out = fresh_dir(spark, "deduped")
-    ingest.run_to_table(kept, out, fresh_dir(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema("invoice_hash string").parquet(out)
+    told = state.stream_deliveries(stream, "arrived", "1 day", live_days=3)
+    ingest.run_to_table(told, out, fresh_dir(spark, "checkpoint")).awaitTermination()
+    return spark.read.schema(told.schema).parquet(out).select(
+        "invoice_hash", "outcome", F.date_format("arrived", "yyyy-MM-dd").alias("arrived"),
+        F.col("reason").isNotNull().alias("has_reason"))
+
+
+def _reattempted(spark, sf) -> DataFrame:
+    """All attempts, and for a third of the bills an earlier, perfect one of every model."""
+    outputs = X.model_outputs(spark, sf)
+    last = E.union_models(outputs).withColumn("attempt", F.lit(2))
+    better = outputs["m_a"].where("k % 3 = 0")
+    early = E.union_models({"m_a": better, "m_b": better, "m_c": better.where("k % 41 <> 2")})
+    return last.unionByName(early.withColumn("attempt", F.lit(1)))
+
+
+@query
+def field_metrics_reattempted(spark, sf):
+    joined = E.join_ground_truth(E.parse_attempts(_reattempted(spark, sf)), X.truth(spark, sf))
+    return E.field_metrics(joined, MODELS)
 
 
 @query
 def stream_field_metrics(spark, sf):
-    rows = E.union_models(X.model_outputs(spark, sf))
-    path = _stored(spark, rows, "arriving", F.col("k") % 5)
+    rows = _reattempted(spark, sf)
+    path = _stored(spark, rows, "arriving", (F.col("k") + F.col("attempt")) % 5)
     stream = ingest.document_stream(spark, path, rows.schema, files_per_batch=2)
     joined = E.join_ground_truth(E.parse_attempts(stream), X.truth(spark, sf))
-    out = fresh_dir(spark, "metrics")
-    ingest.run_to_table(ingest.stream_field_metrics(joined), out,
-                        fresh_dir(spark, "checkpoint"), "complete").awaitTermination()
-    return ingest.latest_result(spark, out)
+    changes = state.stream_metric_changes(joined)
+    out = fresh_dir(spark, "changes")
+    ingest.run_to_table(changes, out, fresh_dir(spark, "checkpoint")).awaitTermination()
+    return state.metrics_from_changes(spark.read.schema(changes.schema).parquet(out))
 
 
 @query
@@ -872,3 +919,22 @@ def stream_rate_limit(spark, sf):
     ingest.run_to_table(counted, out, fresh_dir(spark, "checkpoint"),
                         "complete").awaitTermination()
     return spark.read.parquet(out).select(F.col("batch_id").cast("bigint"), "n_bills")
+
+
+@query
+def stream_token_bucket(spark, sf):
+    """All requests of each model, let through in bursts of a fifth; never more than the pace allows."""
+    requests = E.union_models(X.model_outputs(spark, sf)).select("model", F.col("file").alias(
+        "request"))
+    n, burst = requests.count(), max(1, X.bills(spark, sf).count() // 5)
+    pace = 2.0 / burst  # a fifth each two seconds
+    path = _stored(spark, requests, "arriving")
+    stream = ingest.document_stream(spark, path, "model string, request string")
+    paced = state.stream_paced(stream, pace, burst)
+    out = fresh_dir(spark, "released")
+    running = ingest.run_to_table(paced, out, fresh_dir(spark, "checkpoint"), pace="0 seconds")
+    table = ingest.wait_for_rows(running, out, paced.schema, n)
+    seconds = (F.max("released_ms") - F.min("released_ms")) / 1000
+    return table.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_released"), F.count_distinct("request").alias("n_requests"),
+        (F.count(F.lit(1)) <= burst + seconds / pace + 1).alias("within_pace"))
