@@ -5,22 +5,54 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from billflow.functions import variants as V
+from billflow.functions.numbers import prefix_number
 from billflow.schemas import FIELDS, TRUTH
+from billflow.sources.members import JsonMembers
 
 # Where the two provider response shapes keep the payload text.
 ENVELOPES = ("$.candidates[0].content.parts[0].text", "$.choices[0].message.content")
 
 
-def scan_ground_truth(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
-    """One row per bill from JSON objects keyed by file name.
+def read_truth(spark: SparkSession, path: str, whole_file: bool = True,
+               split_bytes: int | None = None) -> DataFrame:
+    """(file, the six fields, error, raw) from JSON objects keyed by file name.
 
-    ``whole_file`` reads one object per file (a pretty-printed golden file); without it each
-    line is an object, the form for truth sets too large for one document.
+    ``whole_file`` reads one object per file, split at its members so that one large object is
+    read by many tasks; without it each line is an object. A record that cannot be read is a row
+    with its ``error`` and its text in ``raw``. Amounts given as text count by their number.
     """
-    text = spark.read.text(path, wholetext=whole_file)
-    records = F.from_json("value", f"map<string,{TRUTH.simpleString()}>")
-    return (text.select(F.explode(records).alias("file", "truth"))
-            .select("file", "truth.*"))
+    if whole_file:
+        spark.dataSource.register(JsonMembers)
+        reader = spark.read.format("json_members")
+        if split_bytes:
+            reader = reader.option("splitBytes", split_bytes)
+        members = reader.load(path).select(F.col("name").alias("file"), "error", F.col("value")
+                                           .alias("raw"))
+    else:
+        lines = spark.read.text(path).where(F.trim("value") != "").withColumn(
+            "_records", F.from_json("value", "map<string,variant>"))
+        broken = F.array(F.struct(
+            F.lit(None).cast("string").alias("file"), F.lit("line is no JSON object").alias("error"),
+            F.col("value").alias("raw")))
+        whole = F.transform(F.map_entries("_records"), lambda e: F.struct(
+            e["key"].alias("file"), F.lit(None).cast("string").alias("error"),
+            F.to_json(e["value"]).alias("raw")))
+        members = lines.select(F.explode(F.when(F.col("_records").isNull(), broken).otherwise(
+            whole)).alias("m")).select("m.*")
+    opened = members.withColumn("_open", open_fields(V.parse_json(F.col("raw"))))
+    failed = F.coalesce("error", F.when(F.col("_open").isNull(), "record is no JSON object"))
+
+    def value(field: str) -> Column:
+        text = V.js_text(F.col("_open")[field])
+        number = TRUTH[field].dataType.typeName() == "double"
+        return (prefix_number(text) if number else text).alias(field)
+    return opened.withColumn("error", failed).select(
+        "file", *[value(f) for f in TRUTH.names], "error", "raw")
+
+
+def scan_ground_truth(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+    """One row per bill: the records of :func:`read_truth` that could be read."""
+    return read_truth(spark, path, whole_file).where(F.col("error").isNull()).drop("error", "raw")
 
 
 def parse_payloads(payloads: DataFrame, raw: str = "raw") -> DataFrame:

@@ -163,6 +163,10 @@ SELECT 'bill_' || o_orderkey || '.' || (['jpg', 'JPEG', 'png', 'webp', 'pdf', 't
     "scan_ground_truth": f"""WITH {BILLS}
 SELECT file, vendor_name, invoice_number, date, total_amount, tax_amount,
   CASE WHEN k % 4 = 3 THEN 'Unspecified' ELSE gstin END AS gstin FROM b WHERE k % 53 <> 0""",
+    "scan_ground_truth_object": f"""WITH {BILLS}
+SELECT file, CASE WHEN k % 11 <> 0 THEN vendor_name END AS vendor_name,
+  CASE WHEN k % 11 <> 0 THEN tax_amount END AS tax_amount, k % 11 = 0 AS broken
+FROM b WHERE k % 53 <> 0""",
     "parse_payload": f"""{HEADS}
 SELECT file AS file_name, CASE class WHEN 'json' THEN 'json' END AS error_type,
   CASE WHEN class <> 'json' THEN invoice_number END AS invoice_number FROM d""",

@@ -132,6 +132,23 @@ def scan_ground_truth(spark, sf):
     return payloads.scan_ground_truth(spark, path, whole_file=False)
 
 
+@query
+def scan_ground_truth_object(spark, sf):
+    """All truth as one object of one file, each seventh amount as text, each eleventh record broken."""
+    path, k = fresh_dir(spark, "truth"), F.regexp_extract("file", r"(\d+)", 1).cast("bigint")
+    fields = [F.when(k % 7 == 0, F.concat(F.col(f).cast("string"), F.lit(" INR"))).otherwise(
+        F.col(f).cast("string")).alias(f) if f == "tax_amount" else F.col(f) for f in FIELDS]
+    body = F.to_json(F.struct(*fields))
+    body = F.when(k % 11 == 0, F.regexp_replace(body, '^.', "{oops ")).otherwise(body)
+    lines = X.truth(spark, sf).select(k.alias("k"), F.concat(F.lit('"'), "file", F.lit('": '), body,
+                                                             F.lit(",")).alias("value"))
+    ends = spark.createDataFrame([(-1, "{"), (1 << 60, '"last": {}}')], "k bigint, value string")
+    lines.unionByName(ends).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
+    truth = payloads.read_truth(spark, path, split_bytes=1 << 16)
+    return truth.where("file <> 'last'").select(
+        "file", "vendor_name", "tax_amount", F.col("error").isNotNull().alias("broken"))
+
+
 @query
 def parse_payload(spark, sf):
     parsed = payloads.parse_payloads(X.documents(spark, sf, items=False))
