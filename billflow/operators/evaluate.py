@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from billflow.functions import match as M
 from billflow.functions.text import bill_sequence
@@ -190,6 +190,18 @@ def progress(attempts: DataFrame, truth: DataFrame) -> DataFrame:
         "expected", truth.agg(F.count(F.lit(1))).scalar())
 
 
+def observed_progress(attempts: DataFrame, name: str = "progress") -> tuple[DataFrame, Observation]:
+    """The same attempts, counted while whatever reads them runs: ``n_attempts``, ``n_failed`` and ``last_bill`` are
+    in the observation after an action, and in each progress report of a stream, without a pass of their own."""
+    seen = Observation(name)
+    counts = [F.count(F.lit(1)).alias("n_attempts"),
+              F.count_if(F.col("error").isNotNull()).alias("n_failed"),
+              F.max(bill_sequence(F.col("file"))).alias("last_bill")]
+    if attempts.isStreaming:
+        return attempts.observe(name, *counts), seen
+    return attempts.observe(seen, *counts), seen
+
+
 def rank_models(metrics: DataFrame, cost_per_100: Mapping[str, float]) -> DataFrame:
     """Models by mean field accuracy, cheaper first on a tie (one row per model)."""
     cost = F.create_map(*[F.lit(x) for pair in cost_per_100.items() for x in pair])

@@ -37,28 +37,26 @@ def next_id(current: DataFrame, column: str) -> Column:
 
 
 def number_rows(rows: DataFrame, order: str, tie: str, name: str, after: Column | int = 0,
-                buckets: int = 64) -> DataFrame:
-    """Gap-free numbers in ``order`` without sorting the whole table in one task.
+                rows_each: int = 1_000_000) -> DataFrame:
+    """Gap-free numbers in ``order`` (then ``tie``) without sorting the whole table in one task.
 
-    The order column is cut at quantiles fixed on the driver (at most ``buckets`` numbers), so
-    a retried task puts a row in the same bucket. Rows are numbered inside their bucket and
-    shifted by the sizes of the buckets before it. The rows are written once, as three passes
-    read them.
+    The rows are written once, each with a mark of its own. Only order, tie and mark are then
+    sorted into ranges, as many as the rows need: a total order, so that any number of rows of one
+    order value spreads over the ranges. A row's number is its place in its range, which comes with
+    the sorted rows, plus the sizes of the ranges before: no window over rows.
     """
-    rows = written(rows, "numbered")
-    cuts = rows.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.001)
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
-    bucketed = rows.withColumn("_bucket", F.size(F.filter(
-        bounds, lambda b: b <= F.col(order).cast("double"))))
-    sizes = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    # At most `buckets` rows: this window and the broadcast below have a fixed size.
-    before = sizes.selectExpr(
-        "_bucket", "sum(_size) over (order by _bucket) - _size as _before")
-    return (
-        bucketed.join(F.broadcast(before), "_bucket")
-        .selectExpr("*", f"row_number() over (partition by _bucket order by {order}, {tie})"
-                         " as _place")
-        .withColumn(name, (F.col("_place") + F.col("_before")
-                           + (after if isinstance(after, Column) else F.lit(after)))
-                    .cast("bigint"))
-        .drop("_bucket", "_before", "_place"))
+    marked = written(rows.withColumn("_mark", F.monotonically_increasing_id()), "numbered")
+    ranges = max(1, -(-marked.count() // rows_each))
+    keys = list(dict.fromkeys([order, tie, "_mark"]))
+    # partition number in the upper bits, place within it in the lower 33
+    sorted_rows = marked.select(*keys).repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    placed = written(sorted_rows.select("_mark", F.monotonically_increasing_id().alias("_p")),
+                     "places").select("_mark", F.shiftright("_p", 33).alias("_range"),
+                                      F.col("_p").bitwiseAND((1 << 33) - 1).alias("_place"))
+    # One small row for each range of up to `rows_each` rows.
+    before = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_size")).selectExpr(
+        "_range", "sum(_size) over (order by _range) - _size as _before")
+    number = F.col("_place") + F.col("_before") + 1 + (
+        after if isinstance(after, Column) else F.lit(after))
+    numbers = placed.join(before, "_range").select("_mark", number.cast("bigint").alias(name))
+    return marked.join(numbers, "_mark").drop("_mark")

@@ -231,11 +231,13 @@ def dlq_columns(validated: DataFrame, file: str = "file_name", raw: str = "raw")
             payload.alias("_raw_payload")]
 
 
-def dlq_rows(validated: DataFrame, file: str = "file_name", raw: str = "raw") -> DataFrame:
-    """Dead-letter rows of the rejected documents."""
+def dlq_rows(validated: DataFrame, file: str = "file_name", raw: str = "raw",
+             seq: str | None = None) -> DataFrame:
+    """Dead-letter rows of the rejected documents, with their ``seq`` where it is asked for."""
     name, told, payload = dlq_columns(validated, file, raw)
-    return rejected(validated).select(name, "error_type", told, payload).toDF(
-        "file_name", "error_type", "error_message", "raw_payload")
+    kept = [] if seq is None else [seq]
+    return rejected(validated).select(name, "error_type", told, payload, *kept).toDF(
+        "file_name", "error_type", "error_message", "raw_payload", *kept)
 
 
 def dlq_compat(dlq: DataFrame) -> DataFrame:

@@ -30,6 +30,21 @@ def wait_before(attempt: int, multiplier: float = WAIT_MULTIPLIER, low: float =
     return max(low, min(multiplier * 2.0 ** (attempt - 1), high))
 
 
+def answer_of(extractor: Callable[..., dict], values: Sequence, max_attempts: int = MAX_ATTEMPTS,
+              pause: Callable[[float], None] | None = time.sleep) -> tuple:
+    """(raw, attempts, error_type, error_message) of one call with its retries."""
+    for attempt in range(1, max_attempts + 1):
+        try:
+            return json.dumps(extractor(*values)), attempt, None, None
+        except TransientExtractorError as problem:
+            last = problem
+            if attempt < max_attempts and pause is not None:
+                pause(wait_before(attempt))
+        except Exception as problem:
+            return None, attempt, "extractor", str(problem)
+    return None, max_attempts, "extractor", f"gave up after {max_attempts} attempts: {last}"
+
+
 def extract_with_retry(files: DataFrame, extractor: Callable[..., dict],
                        inputs: Sequence[str] = ("file_name",), partitions: int | None = None,
                        max_attempts: int = MAX_ATTEMPTS,
@@ -42,21 +57,10 @@ def extract_with_retry(files: DataFrame, extractor: Callable[..., dict],
     """
     spread = files if partitions is None else files.repartition(partitions, *inputs)
 
-    def call(*values) -> tuple:
-        for attempt in range(1, max_attempts + 1):
-            try:
-                return json.dumps(extractor(*values)), attempt, None, None
-            except TransientExtractorError as problem:
-                last = problem
-                if attempt < max_attempts and pause is not None:
-                    pause(wait_before(attempt))
-            except Exception as problem:
-                return None, attempt, "extractor", str(problem)
-        return None, max_attempts, "extractor", f"gave up after {max_attempts} attempts: {last}"
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            results = [call(*row) for row in batch[list(inputs)].itertuples(index=False)]
+            results = [answer_of(extractor, row, max_attempts, pause)
+                       for row in batch[list(inputs)].itertuples(index=False)]
             yield batch.assign(**{
                 name: [r[i] for r in results] for i, name in
                 enumerate(("raw", "attempts", "error_type", "error_message"))})

@@ -79,3 +79,13 @@ def wait_for_rows(query: StreamingQuery, path: str, schema, n_rows: int,
     finally:
         query.stop()
     raise TimeoutError(f"{path} has fewer than {n_rows} rows after {seconds} seconds")
+
+
+def observed_batches(query: StreamingQuery, name: str) -> list[dict]:
+    """What each micro-batch with rows has reported under this name (as many as the session keeps)."""
+    told = []
+    for progress in query.recentProgress:
+        row = progress.observedMetrics.get(name)
+        if row is not None and progress.numInputRows:
+            told.append({"batch_id": progress.batchId, **row.asDict()})
+    return told

@@ -430,6 +430,12 @@ SELECT field, CAST(max(round(correct / total * 100)) FILTER (WHERE model = 'm_a'
     ELSE 'Medium' END AS difficulty FROM metrics GROUP BY field""",
     "progress": f"""{ATTEMPTS}
 SELECT count(*) AS evaluated, count(*) FILTER (WHERE k % 53 <> 0) AS expected FROM b""",
+    "progress_observed": f"""{ATTEMPTS}
+SELECT count(DISTINCT k % 5) AS n_batches, count(*) AS n_attempts,
+  count(*) FILTER (WHERE failed) AS n_failed, max(k) AS last_bill FROM a""",
+    "extract_resumed": f"""WITH {BILLS}
+SELECT file AS file_name, '{{"k": ' || k || '}}' AS raw, 1 AS attempts, k % 2 = 0 AS from_ledger,
+  CAST(NULL AS VARCHAR) AS error_message FROM b""",
     "model_cost": f"""{ATTEMPTS}
 SELECT model, count(*) AS n_bills, CASE model WHEN 'm_a' THEN 0.007 ELSE 0.0 END::DOUBLE
   AS cost_per_100, count(*) * (CASE model WHEN 'm_a' THEN 0.007 ELSE 0.0 END)::DOUBLE / 100

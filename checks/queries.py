@@ -18,7 +18,7 @@ from billflow.operators.vendor_match import match_vendors
 from billflow.plans.etl import load_summary
 from billflow.plans.store import StagingStore
 from billflow.schemas import FIELDS, MODEL_COST_PER_100, MODELS
-from billflow.sources import extract, files, payloads
+from billflow.sources import extract, files, ledger, payloads
 from billflow.streaming import ingest, state
 from billflow.workspace import fresh_dir, written
 
@@ -219,6 +219,20 @@ def model_fanout(spark, sf):
         "file_name", "model", "raw", "error_message")
 
 
+@query
+def extract_resumed(spark, sf):
+    """A run over every second bill, then one over all: stored answers are not asked for again."""
+    def extractor(file: str) -> dict:
+        return {"k": int(file[len("bill_"):-len(".jpg")])}
+
+    listed = X.bills(spark, sf).select("k", F.col("file").alias("file_name"))
+    root = fresh_dir(spark, "ledger")
+    first = ledger.extract_through_ledger(listed.where("k % 2 = 0"), extractor, root, partitions=16)
+    written(first, "first-run")
+    return ledger.extract_through_ledger(listed, extractor, root, partitions=16).select(
+        "file_name", "raw", "attempts", "from_ledger", "error_message")
+
+
 # Validation and projections ------------------------------------------------------------------
 
 def _parsed(spark, sf, items) -> DataFrame:
@@ -766,6 +780,22 @@ def progress(spark, sf):
     return E.progress(_attempts(spark, sf), X.truth(spark, sf))
 
 
+@query
+def progress_observed(spark, sf):
+    """What a stream reports batch by batch while it runs, added up."""
+    rows = E.union_models(X.model_outputs(spark, sf))
+    path = _stored(spark, rows, "arriving", F.col("k") % 5)
+    stream = ingest.document_stream(spark, path, rows.schema, files_per_batch=1)
+    seen, _ = E.observed_progress(E.parse_attempts(stream))
+    running = ingest.run_to_table(seen, fresh_dir(spark, "seen"), fresh_dir(spark, "checkpoint"))
+    running.awaitTermination()
+    told = ingest.observed_batches(running, "progress")
+    reports = spark.createDataFrame(told, "batch_id bigint, n_attempts bigint, n_failed bigint,"
+                                          " last_bill bigint")
+    return reports.agg(F.count(F.lit(1)).alias("n_batches"), F.sum("n_attempts").alias("n_attempts"),
+                       F.sum("n_failed").alias("n_failed"), F.max("last_bill").alias("last_bill"))
+
+
 @query
 def model_cost(spark, sf):
     return E.model_cost(_attempts(spark, sf), MODEL_COST_PER_100)
