@@ -88,10 +88,18 @@ def words(data: np.ndarray, bounds: np.ndarray, lower: bool = True, head: int |
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each word `[^\\x20\\x09-\\x0D]+`: where it begins and ends, a 64-bit hash (of no more
     than `head` bytes), its text's index."""
+    first, last, hashes, of = words_by_heads(data, bounds, (head,), lower)
+    return first, last, hashes[0], of
+
+
+def words_by_heads(data: np.ndarray, bounds: np.ndarray, heads: tuple[int | None, ...],
+                   lower: bool = True
+                   ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """As `words`, with a hash for each of `heads` from one pass."""
     separator = _SEPARATOR[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[bounds] = True
-    starts, ends, hashes = [], [], []
+    starts, ends, hashes = [], [], [[] for _ in heads]
     cuts = _cuts(bounds, separator)
     for low, high in zip(cuts[:-1], cuts[1:]):
         inside = ~separator[low:high]
@@ -103,16 +111,17 @@ def words(data: np.ndarray, bounds: np.ndarray, lower: bool = True, head: int |
         part = LOWER[data[low:high]] if lower else data[low:high]
         sums = np.zeros(high - low + 1, dtype=np.uint64)
         np.cumsum(_BYTE[part] * _power("up", high - low), out=sums[1:])
-        to = last if head is None else np.minimum(last, first + head)
-        value = (sums[to] - sums[first]) * _power("down", high - low)[first]
-        hashes.append(mix(value ^ (to - first).astype(np.uint64)))
+        for head, found in zip(heads, hashes):
+            to = last if head is None else np.minimum(last, first + head)
+            value = (sums[to] - sums[first]) * _power("down", high - low)[first]
+            found.append(mix(value ^ (to - first).astype(np.uint64)))
         starts.append(first + low)
         ends.append(last + low)
     if not starts:
         nothing = np.zeros(0, dtype=np.int64)
-        return nothing, nothing, np.zeros(0, dtype=np.uint64), nothing
+        return nothing, nothing, [np.zeros(0, dtype=np.uint64) for _ in heads], nothing
     first = np.concatenate(starts)
-    return (first, np.concatenate(ends), np.concatenate(hashes),
+    return (first, np.concatenate(ends), [np.concatenate(x) for x in hashes],
             np.searchsorted(bounds, first, "right") - 1)
 
 

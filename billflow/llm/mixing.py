@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from billflow.llm.arrays import pieces, shingles, text_bytes, words
+from billflow.llm.arrays import pieces, text_bytes, words_by_heads
 from billflow.workspace import written
 
 BINS = 1 << 16  # hashed words and word heads
@@ -46,8 +46,7 @@ def _features(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     how many capitals, marks and different words it has."""
     data, bounds = text_bytes(batch.column("text"))
     n = batch.num_rows
-    _, _, whole, of = words(data, bounds)
-    _, _, head, _ = words(data, bounds, head=HEAD)
+    _, _, (whole, head), of = words_by_heads(data, bounds, (None, HEAD))
     count = np.bincount(of, minlength=n)
     key = np.concatenate([whole >> np.uint64(48), (head ^ np.uint64(1)) >> np.uint64(48)])
     own = np.concatenate([of, of]).astype(np.int64)
@@ -74,7 +73,8 @@ def train(docs: DataFrame, domains: DataFrame, names: list[str]) -> tuple[np.nda
     chosen = domains.filter(F.col("domain").isin(names)).select(
         F.col("doc_id").alias("_id"), "domain").orderBy(F.xxhash64("_id"), "_id", "domain").limit(
         TRAINED_ON)
-    rows = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"]).select("text", "domain")
+    rows = written(docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"])
+                   .select("text", "domain"), "labelled")
     width = BINS + 48
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,8 +196,8 @@ def rate_of(gaps: list[list[float]], names: list[str], step: float = 1.0,
 def fit(scored: DataFrame, targets: dict[str, float], steps: int = 30, close: float = 5e-3,
         most: float | None = None) -> list[list[float]]:
     """The gaps of each step. The total aimed at leaves the domain of the largest target as it is: others
-    are thinned out, or repeated where they are scarce. With `most`, no rate goes above it, and the total is
-    what the scarcest domain allows."""
+    are thinned out, or repeated where they are scarce. With `most` no rate goes above it; a domain scarcer than
+    its target then stays scarce, and the largest one is not thinned out for it."""
     names = list(targets)
 
     def expected(gaps: list[list[float]]) -> list[float]:
@@ -210,9 +210,6 @@ def fit(scored: DataFrame, targets: dict[str, float], steps: int = 30, close: fl
     there = expected([])
     top = max(range(len(names)), key=lambda k: targets[names[k]])
     total = there[top] / targets[names[top]]
-    if most is not None:
-        total = min([total, *[most * s / targets[n] for n, s in zip(names, there)
-                              if targets[n] and s]])
     goal = [targets[n] * total for n in names]
     gaps: list[list[float]] = []
     now = there
@@ -245,8 +242,8 @@ def mixed(docs: DataFrame, domains: DataFrame, targets: dict[str, float] | None
 
 def keep_mixed(docs: DataFrame, domains: DataFrame, targets: dict[str, float] | None = None
                ) -> DataFrame:
-    """The rows of `docs` that the fitted rates keep, each once: rates of at most 1, so that targets are met by
-    leaving out alone."""
+    """The rows of `docs` that the fitted rates keep, each once: rates of at most 1, so that domains beyond their
+    target are thinned out and nothing is repeated."""
     chosen = mixed(docs, domains, targets, most=1.0).filter("copies > 0").select(
         F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_kept_id"]), "left_semi")
