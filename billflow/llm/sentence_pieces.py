@@ -29,9 +29,9 @@ from pyspark.sql import DataFrame
 from billflow.llm.arrays import pieces
 
 MARK = "▁"  # fixed value: the blank in vocabulary files
-BATCH = 4 << 20  # bytes of text whose words are sorted together
+BATCH = 3 << 19  # bytes of text whose words are sorted together
 PAIRS = 200_000  # how many decisions on neighbours are kept
-KEPT = 100_000  # how many words are kept with their ids from batch to batch
+KEPT = 60_000  # how many words are kept with their ids from batch to batch
 SHORT = 32  # characters of a word that is kept
 
 
@@ -49,6 +49,7 @@ class Vocabulary:
     _apart: dict = field(default_factory=dict)
     _whole: dict = field(default_factory=dict)
     _words: dict = field(default_factory=dict)
+    _tails: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if not self.ids:
@@ -58,6 +59,15 @@ class Vocabulary:
         self.longest = max(map(len, self.ids), default=1)
         self.cut_line = not any("\n" in p for p in self.ids)
 
+    @property
+    def tails(self) -> dict[str, int]:
+        """All ends of pieces: 0 for what is no piece itself, 1 for a piece, 2 for one known to be whole. What is
+        none of them does not end a piece however far it goes back."""
+        if not self._tails:
+            self._tails = {p[k:]: 0 for p in self.ids for k in range(len(p))}
+            self._tails.update(dict.fromkeys(self.ids, 1))
+        return self._tails
+
     def merged(self, text: str) -> list[str]:
         """Pieces by definition: of all neighbours whose union is a piece, join the best, leftmost first."""
         parts = list(text)
@@ -116,6 +126,7 @@ def encode_words(vocabulary: Vocabulary, words: list[str]) -> dict[str, list[int
     """Ids of each distinct word: depth-first over the sorted words, keeping scores of shared prefixes."""
     ids, longest, scores = vocabulary.ids, vocabulary.longest, vocabulary.scores
     whole, apart, known = vocabulary.whole, vocabulary.apart, vocabulary._apart
+    tails, end_of = vocabulary.tails, vocabulary.tails.get
     lowest = min(scores, default=0.0) - 10.0  # an unknown character, as costly as in the library
     out, before = {}, ""
     last: list[str] = [""]  # last[i]: the piece that ends at i in the segmentation of the first i
@@ -137,18 +148,30 @@ def encode_words(vocabulary: Vocabulary, words: list[str]) -> dict[str, list[int
                 last.append(piece)
         else:
             for end in range(shared + 1, len(word) + 1):
+                # back as far as pieces may reach, then the longest that follows what is before it
+                start, reached = end - 1, []
+                while start:
+                    piece = word[start - 1:end]
+                    kind = end_of(piece)
+                    if kind is None:
+                        break
+                    start -= 1
+                    if kind:
+                        reached.append(piece)
                 found = None
-                for start in range(max(0, end - longest), end - 1):
-                    piece = word[start:end]
-                    if piece in ids and whole(piece):
-                        left = last[start]
-                        if not start:
-                            found = piece
-                            break
-                        pair = known.get((left, piece))
-                        if pair or pair is None and apart(left, piece):
-                            found = piece
-                            break
+                for piece in reversed(reached):
+                    if tails[piece] == 1:
+                        tails[piece] = 2 if whole(piece) else 0
+                    if not tails[piece]:
+                        continue
+                    left = last[end - len(piece)]
+                    if not left:
+                        found = piece
+                        break
+                    pair = known.get((left, piece))
+                    if pair or pair is None and apart(left, piece):
+                        found = piece
+                        break
                 last.append(found if found is not None else word[end - 1])
         before, end, parts = word, len(word), []
         while end:
