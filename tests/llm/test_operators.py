@@ -217,29 +217,48 @@ def test_fingerprints(docs, texts, empty):
         a, b = weights(a), weights(b)
         either = sum((a | b).values())
         return sum((a & b).values()) / either if either else 1.0
-    far, prints = [], {}
+    far, every, prints = [], [], {}
     for r in rows:
         text, other = texts[r.doc_id] or "", texts[following[r.doc_id]] or ""
         cut = len(text) // 3
         edited = text[:len(text) - cut] + other[:cut]
         assert (r.n_chars, r.edited_sha256) == (len(text), sha(edited))
         assert prints.setdefault(text, r.fingerprint) == r.fingerprint
-        if min(len(weights(text)), len(weights(other))) > 60:  # enough terms to fill the samples
-            far += [r.near_edited - alike(text, edited), r.near_next - alike(text, other)]
+        assert bool(r.fingerprint) == bool(weights(text))
+        for told, true in ((r.near_edited, alike(text, edited)), (r.near_next, alike(text, other))):
+            assert true not in (0.0, 1.0) or told == pytest.approx(true, abs=0.05)
+            every.append(told - true)
+            if min(len(weights(text)), len(weights(other))) > 60:  # enough terms to fill the samples
+                far.append(told - true)
     assert len(rows) == len(texts)
     assert abs(sum(far) / len(far)) < 0.05 and max(map(abs, far)) < 0.35
+    assert (sum(e * e for e in every) / len(every)) ** 0.5 < 0.12
     assert sampled_fingerprints.with_fingerprints(empty).count() == 0
 
 
-def test_fingerprint_weights(spark):
-    """Samples of a weighted term follow the weights: 3 of one term against 1 of it is alike by 1/3."""
-    rows = [(" ".join([f"t{i} x{i} y{i} z{i} u{i} |" * 1 for i in range(300)]),
-             " ".join([f"t{i} x{i} y{i} z{i} u{i} |" * 3 for i in range(300)]))]
-    df = spark.createDataFrame(rows, "a string, b string")
-    got = df.select(sampled_fingerprints.likeness(
-        sampled_fingerprints.fingerprint(F.col("a")),
-        sampled_fingerprints.fingerprint(F.col("b"))).alias("x")).first().x
-    assert 0.05 < got < 0.6
+def test_fingerprints_of_odd_rows(spark):
+    """Null ids go, repeated rows stay, ids of another type and extra columns do no harm; five words are a term."""
+    rows = [(1, "a b c d e", "x"), (1, "a b c d e", "x"), (2, "A  b c\nd e", "y"), (None, "lost", "z"),
+            (3, None, "w"), (4, "a b c d e f", "v")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, own string")
+    got = sampled_fingerprints.with_fingerprints(df).collect()
+    assert sorted(r.doc_id for r in got) == [1, 1, 2, 3, 4]
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[1].fingerprint == by_id[2].fingerprint != "" == by_id[3].fingerprint
+    assert by_id[2].near_next == 1.0 and by_id[3].near_next == 0.0
+
+
+@pytest.mark.parametrize("heavy", [1, 2, 3, 8])
+def test_fingerprint_weights(spark, heavy):
+    """Samples follow the weights: 600 terms of weight 1 against the same ones of weight w are alike by 1/w."""
+    df = spark.createDataFrame([(side, f"{term}", weight) for side, weight in ((0, 1), (1, heavy))
+                                for term in range(600)], "side int, name string, weight int")
+    rows = df.select("side", F.xxhash64("name").alias("term"), "weight")
+    least = sampled_fingerprints.drawn(rows).groupBy("side", F.shiftright("value", 57)).agg(
+        F.min("value").alias("value"))
+    sets = [{r.value for r in least.collect() if r.side == side} for side in (0, 1)]
+    assert len(sets[0]) == len(sets[1]) == sampled_fingerprints.SAMPLES
+    assert abs(len(sets[0] & sets[1]) / sampled_fingerprints.SAMPLES - 1 / heavy) < 0.15
 
 
 def test_chat_tree(spark):
