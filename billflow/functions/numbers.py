@@ -14,6 +14,9 @@ WHOLE_NUMBER = r"\A\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
 WHOLE_NUMBER_OR_WORD = (
     r"\A\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:nan|inf|infinity))\s*\z"
 )
+INFINITE = r"\A\s*[+-]?Infinity\s*\z"
+DIGIT_BASES = {16: r"\A\s*0[xX]([0-9a-fA-F]+)\s*\z", 8: r"\A\s*0[oO]([0-7]+)\s*\z",
+               2: r"\A\s*0[bB]([01]+)\s*\z"}
 NUMBER_PREFIX = r"\A\s*([+-]?(?:Infinity|(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?))"
 
 
@@ -34,8 +37,14 @@ def prefix_number(text: Column) -> Column:
 
 
 def number_or_zero(text: Column) -> Column:
-    """Whole-text number; anything else, and NaN, becomes 0."""
-    value = whole_number(text, words=False)
+    """Whole-text number, also ``Infinity`` and digits after 0x, 0o or 0b; anything else, and NaN, becomes 0."""
+    value = F.when(text.rlike(INFINITE), _trimmed(text).try_cast("double")).otherwise(
+        whole_number(text, words=False))
+    for base, shape in DIGIT_BASES.items():
+        digits = F.split(F.regexp_extract(text, shape, 1), "")
+        number = F.aggregate(digits, F.lit(0.0), lambda sofar, digit: sofar * base + F.conv(
+            digit, 16, 10).cast("double"))
+        value = F.when(text.rlike(shape), number).otherwise(value)
     return F.coalesce(F.when(~F.isnan(value), value), F.lit(0.0))
 
 

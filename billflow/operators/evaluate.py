@@ -15,6 +15,9 @@ from billflow.schemas import FIELDS, TRUTH
 from billflow.sources.payloads import extracted_fields, open_fields
 
 
+NO_OUTPUT = "model gave no output"
+
+
 def parse_attempts(attempts: DataFrame, payload: str = "payload") -> DataFrame:
     """(file, model, error, extracted), and ``attempt`` where there is one: a payload that is no JSON object becomes that row's error, as does
     a truthy ``error`` member of it."""
@@ -39,6 +42,28 @@ def union_models(outputs: Mapping[str, DataFrame]) -> DataFrame:
     return whole
 
 
+def last_outputs(outputs: DataFrame, models: Sequence[str],
+                 all_bills: DataFrame | None = None) -> DataFrame:
+    """(file, model, error, payload), exactly one row for each bill and model: the last attempt (by an ``attempt``
+    column where there is one; of equal ones the greatest payload), or the error that there is none.
+
+    Attempts are merged before the one shuffle, which is by bill; ``all_bills`` (a ``file`` column) adds bills that no
+    model answered.
+    """
+    attempt = F.coalesce(F.col("attempt").cast("bigint"), F.lit(0)) if "attempt" in outputs.columns else F.lit(0)
+    last = F.struct(attempt.cast("bigint").alias("attempt"), "payload", "error")
+    rows = outputs.select("file", "model", last.alias("last"))
+    if all_bills is not None:
+        rows = rows.unionByName(all_bills.select("file"), allowMissingColumns=True)
+    bills = rows.groupBy("file").agg(*[
+        F.max(F.when(F.col("model") == m, F.col("last"))).alias(str(i)) for i, m in enumerate(models)])
+    each = F.array(*[F.struct(F.lit(m).alias("model"), F.col(str(i)).alias("last"))
+                     for i, m in enumerate(models)])
+    found = bills.select("file", F.explode(each).alias("one")).select("file", "one.model", "one.last.*")
+    silent = F.when(F.col("payload").isNull(), NO_OUTPUT)
+    return found.select("file", "model", F.coalesce("error", silent).alias("error"), "payload")
+
+
 def join_ground_truth(attempts: DataFrame, truth: DataFrame) -> DataFrame:
     """Left join on the file name; ``truth`` is a null struct where a bill has none."""
     packed = truth.select("file", F.struct(*[F.col(f) for f in FIELDS]).alias("truth"))
@@ -230,13 +255,14 @@ def evaluation_documents(scored: DataFrame, models: Sequence[str]) -> DataFrame:
     """One nested JSON document per bill: each model's extraction and evaluation.
 
     One conditional aggregate per model instead of a collected list, so repeated deliveries
-    of a bill are merged before the shuffle.
+    of a bill are merged before the shuffle; of different ones the greatest text stays. A model without a row is left
+    out: rows from `last_outputs` have one for each.
     """
     extraction = F.coalesce(F.to_json(F.col("extracted").dropFields("invoice_number_is_text")),
                             F.to_json(F.struct("error")))
     part = F.struct(extraction.alias("extracted"), F.to_json("evaluation").alias("evaluation"))
     nested = scored.groupBy("file").agg(*[
-        F.first(F.when(F.col("model") == m, part), ignorenulls=True).alias(m) for m in models])
+        F.max(F.when(F.col("model") == m, part)).alias(m) for m in models])
     document = F.concat(F.lit("{"), F.concat_ws(",", *[
         F.when(F.col(m).isNotNull(), F.concat(
             F.lit(f'"{m}":{{"extracted":'), F.col(m)["extracted"], F.lit(',"evaluation":'),

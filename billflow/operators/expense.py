@@ -31,7 +31,8 @@ def expense_mapping(bills: DataFrame, record: str, account_id: str,
     amount = F.try_variant_get(total, "$", "double")
     if fallbacks:
         kept_amount = F.when(V.is_number(V.kind(total)), amount).otherwise(
-            number_or_zero(V.as_text(total)))
+            F.when(V.kind(total) == "BOOLEAN", V.is_truthy(total).cast("double")).otherwise(
+                number_or_zero(V.as_text(total))))
         parts = (date_or_today(V.as_text(date), as_of), kept_amount,
                  _falsy_default(number, NO_REFERENCE), _falsy_default(vendor, NO_VENDOR),
                  _falsy_default(gstin, NO_GSTIN))

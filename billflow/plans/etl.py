@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from billflow.functions import match as M
+from billflow.operators.evaluate import evaluate, join_ground_truth, last_outputs, parse_attempts
 from billflow.operators.validate import validate
 from billflow.plans.store import StagingStore
 from billflow.sources.extract import extract_with_retry
 from billflow.sources.files import admit_images
+from billflow.sources.payloads import unwrap_envelope
 
 
 def routing_summary(documents: DataFrame, strict: bool = False) -> DataFrame:
@@ -59,3 +62,25 @@ def run_pipeline(files: DataFrame, extractor: Callable[..., dict], store: Stagin
         admitted.where(F.col("error").isNull()).select("file_name", "seq"), extractor,
         **options).select("file_name", "seq", "raw", "error_message")
     store.load(called.unionByName(refused), batch, writer=writer)
+
+
+def evaluate_run(answers: DataFrame, truth: DataFrame, models: Sequence[str], all_bills: DataFrame | None = None,
+                 **options) -> DataFrame:
+    """Unwrap, parse, gate, score: one scored row for each bill and model, whatever the model did.
+
+    ``answers`` has file, model, error and ``raw``, a provider's response or the bare payload (and ``attempt``, where
+    calls were repeated); ``options`` go to the scoring.
+    """
+    payload = F.coalesce(unwrap_envelope(F.col("raw")), F.col("raw"))
+    known = truth if all_bills is None else all_bills
+    outputs = last_outputs(answers.withColumn("payload", payload).drop("raw"), models, known)
+    return evaluate(join_ground_truth(parse_attempts(outputs), truth), **options)
+
+
+def run_log(scored: DataFrame) -> DataFrame:
+    """One line for each bill and model: its band, its label and why it failed."""
+    failed, score = F.col("error").isNotNull(), F.col("evaluation")
+    return scored.select(
+        "file", "model", "error", M.status_band(score["accuracy_pct"]).alias("band"),
+        M.run_band(failed, score["passed"]).alias("run"),
+        M.run_label(failed, score["passed"], score["accuracy_score"]).alias("label"))

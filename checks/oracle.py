@@ -456,6 +456,25 @@ SELECT s.file, s.model, CASE WHEN passed IS NULL THEN 'not run' WHEN passed >= 5
   CASE WHEN s.failed THEN 'Error / Failed'
     ELSE coalesce(passed, 0) || ' / 6 (' || coalesce(accuracy_score, '0%') || ')' END AS label
 FROM strict s LEFT JOIN scored USING (k, model)""",
+    "evaluate_run": f"""{ATTEMPTS}, every AS (
+  SELECT b.k, b.file, model, a.k IS NULL AS silent, coalesce(a.failed, true) AS failed
+  FROM b CROSS JOIN (VALUES ('m_a'), ('m_b'), ('m_c')) m(model) LEFT JOIN a USING (k, model))
+SELECT e.file, e.model,
+  CASE WHEN silent THEN 'model gave no output' WHEN e.failed THEN 'model failed' END AS error,
+  CASE WHEN passed IS NULL THEN 'not run' WHEN passed >= 5 THEN 'good' ELSE 'weak' END AS band,
+  CASE WHEN e.failed THEN 'failed' WHEN passed = 6 THEN 'perfect' ELSE 'partial' END AS run,
+  CASE WHEN e.failed THEN 'Error / Failed'
+    ELSE coalesce(passed, 0) || ' / 6 (' || coalesce(accuracy_score, '0%') || ')' END AS label
+FROM every e LEFT JOIN scored USING (k, model)""",
+    "evaluation_document_read": f"""{ATTEMPTS}, every AS (
+  SELECT b.k, b.file, model, a.k IS NULL AS silent, coalesce(a.failed, true) AS failed,
+    CASE WHEN a.k IS NOT NULL AND NOT a.failed AND NOT (model = 'm_b' AND b.k % 8 = 0)
+      THEN b.invoice_number END AS invoice_number
+  FROM b CROSS JOIN (VALUES ('m_a'), ('m_b'), ('m_c')) m(model) LEFT JOIN a USING (k, model))
+SELECT e.file, e.model,
+  CASE WHEN silent THEN 'model gave no output' WHEN e.failed THEN 'model failed' END AS error,
+  e.invoice_number, passed, accuracy_score
+FROM every e LEFT JOIN scored USING (k, model)""",
     "field_difficulty": f"""{_metrics('lenient')}
 SELECT model, field, CASE field WHEN 'vendor_name' THEN 'High (Cursive)'
   WHEN 'gstin' THEN 'High (15-digit OCR)' ELSE 'Medium' END AS difficulty FROM metrics""",

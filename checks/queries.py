@@ -15,7 +15,7 @@ from billflow.operators.lookup import insert_only_new, number_rows
 from billflow.operators.once import computed_once
 from billflow.operators.resolve import resolve_vendors
 from billflow.operators.vendor_match import match_vendors
-from billflow.plans.etl import load_summary
+from billflow.plans.etl import evaluate_run, load_summary, run_log
 from billflow.plans.store import StagingStore
 from billflow.schemas import FIELDS, MODEL_COST_PER_100, MODELS
 from billflow.sources import extract, files, ledger, payloads
@@ -834,9 +834,47 @@ def results_in_bill_order(spark, sf):
     return ordered.select("file", "model", "bill_seq")
 
 
+def _answers(spark, sf) -> DataFrame:
+    """Model outputs as their providers send them: in one of the two envelopes, or bare."""
+    rows = E.union_models(X.model_outputs(spark, sf))
+    said = F.struct(F.struct(F.col("payload").alias("content")).alias("message"))
+    parts = F.struct(F.struct(F.array(F.struct(F.col("payload").alias("text"))).alias("parts")).alias("content"))
+    raw = F.when(F.col("payload").isNull(), F.lit(None)).when(
+        F.col("model") == "m_a", F.to_json(F.struct(F.array(said).alias("choices")))).when(
+        F.col("model") == "m_b", F.to_json(F.struct(F.array(parts).alias("candidates")))).otherwise(F.col("payload"))
+    return rows.select("file", "model", "error", raw.alias("raw"))
+
+
+def _run(spark, sf) -> DataFrame:
+    return evaluate_run(_answers(spark, sf), X.truth(spark, sf), MODELS, X.bills(spark, sf), phonetic=False)
+
+
+@query
+def evaluate_run_log(spark, sf):
+    """The evaluation flow from provider answers to a line for each bill and model, silent models included."""
+    return run_log(_run(spark, sf))
+
+
+QUERIES["evaluate_run"] = QUERIES.pop("evaluate_run_log")
+
+
 @query
 def evaluation_document(spark, sf):
-    return E.evaluation_documents(_scored(spark, sf), MODELS)
+    return E.evaluation_documents(_run(spark, sf), MODELS)
+
+
+@query
+def evaluation_document_read(spark, sf):
+    """The nested documents read back: what each says of each model."""
+    documents = E.evaluation_documents(_run(spark, sf), MODELS)
+    told = documents.select("file", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("model"), *[F.get_json_object("document", f"$.{m}.{path}").alias(name)
+                                            for name, path in (("error", "extracted.error"),
+                                                               ("invoice_number", "extracted.invoice_number"),
+                                                               ("passed", "evaluation.passed"),
+                                                               ("accuracy_score", "evaluation.accuracy_score"))])
+        for m in MODELS])).alias("one"))
+    return told.select("file", "one.*").withColumn("passed", F.col("passed").cast("int"))
 
 
 # Vendor resolution ---------------------------------------------------------------------------

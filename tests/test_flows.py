@@ -358,3 +358,36 @@ def test_workers_need_no_installed_package(tmp_path):
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True,
                           text=True, timeout=180)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_evaluation_run_keeps_silent_models_and_last_attempts(spark):
+    """Each bill has a row a model: the last attempt decides, an error payload fails, a silent model has its error."""
+    from billflow.plans.etl import evaluate_run, run_log
+    good = json.dumps({"vendor_name": "V", "invoice_number": "1", "date": "2024-01-01", "total_amount": 1.0,
+                       "tax_amount": 0.0, "gstin": "27ABCDE1234F1Z5"})
+    poor = json.dumps({"vendor_name": "V"})
+    wrapped = json.dumps({"choices": [{"message": {"content": good}}]})
+    answers = spark.createDataFrame([
+        ("f", "m1", None, good, 1), ("f", "m1", None, poor, 2), ("f", "m1", None, poor, 2),
+        ("f", "m2", None, poor, 1), ("f", "m2", None, wrapped, 3), ("f", "m3", None, '{"error": "quota"}', 1),
+        ("g", "m1", "refused", None, 1), ("g", "other", None, good, 1)],
+        "file string, model string, error string, raw string, attempt int")
+    truth = spark.createDataFrame(
+        [(f, "V", "1", "2024-01-01", 1.0, 0.0, "27ABCDE1234F1Z5") for f in "fh"],
+        "file string, vendor_name string, invoice_number string, date string,"
+        " total_amount double, tax_amount double, gstin string")
+    scored = evaluate_run(answers, truth, ("m1", "m2", "m3"), phonetic=False)
+    got = {(r.file, r.model): (r.error, r.run) for r in run_log(scored).collect()}
+    silent = ("model gave no output", "failed")
+    assert got.pop(("f", "m1"))[1] == "partial" and got.pop(("f", "m2")) == (None, "perfect")
+    assert got == {("f", "m3"): ("quota", "failed"), ("g", "m1"): ("refused", "failed"), ("g", "m2"): silent,
+                   ("g", "m3"): silent, ("h", "m1"): silent, ("h", "m2"): silent, ("h", "m3"): silent}
+
+
+def test_a_boolean_total_is_a_number(spark):
+    from billflow.functions.variants import parse_json
+    from billflow.operators.expense import expense_mapping
+    bills = spark.createDataFrame([(1, '{"total_amount": true}'), (2, '{"total_amount": false}'),
+                                   (3, '{"total_amount": "0x10"}'), (4, '{"total_amount": null}')], "k int, t string")
+    got = expense_mapping(bills.select("k", parse_json(F.col("t")).alias("r")), "r", "acc")
+    assert [r.amount for r in got.orderBy("k").collect()] == [1.0, 0.0, 16.0, 0.0]

@@ -37,7 +37,15 @@ def test_prefix_and_whole_numbers(spark):
                  N.whole_number(F.col("n")))
     assert got == list(rows.values())
     zero = column(spark, [(n,) for n in rows], "n string", N.number_or_zero(F.col("n")))
-    assert zero == [0.0, 0.0, 0.0, 0.0, 12.0, 0.5, 5.0, 1000.0, 0.0, 0.0, 0.0]
+    assert zero == [0.0, 0.0, 0.0, 0.0, 12.0, 0.5, 5.0, 1000.0, 0.0, -float("inf"), 0.0]
+
+
+def test_numbers_in_other_forms(spark):
+    rows = {"Infinity": float("inf"), " +Infinity ": float("inf"), "infinity": 0.0, "inf": 0.0, "NaN": 0.0,
+            "0x1A": 26.0, "0Xff ": 255.0, "0b101": 5.0, "0o17": 15.0, "0x": 0.0, "-0x1A": 0.0, "0b2": 0.0,
+            "0x" + "f" * 20: float(16 ** 20 - 1), None: 0.0, "true": 0.0}
+    got = column(spark, [(n,) for n in rows], "n string", N.number_or_zero(F.col("n")))
+    assert got == list(rows.values())
 
 
 def test_float_text_is_pythons(spark):
