@@ -5,13 +5,16 @@ attract nobody. Regions are therefore made around what sets share: the index kee
 its rarest shingles, so many that any partner must share one of them. All documents that list a shingle
 form a region whose pivot is its smallest document (more pivots where the region goes on).
 
-Join of a region. Every member is measured against the pivot (t is the largest distance of a link):
+Join of a region. Its pivot is its smallest set, and every other member is measured against it (t is the
+largest distance of a link):
 - within t: linked. Two such members are in one component by way of the pivot, so their pair is moot;
 - beyond 2t: by the triangle inequality no member within t can link to it. These are joined among
   themselves as a region with new pivots, and so on;
-- between t and 2t, the boundary: likewise, and also
-  replicated to the members within t that the window |d(x) - d(y)| <= t leaves, if both are not in one
-  component already.
+- between t and 2t, the boundary: likewise, and also replicated to the members within t, if both are not
+  in one component already. As the pivot is the smallest, a link over the boundary needs more common
+  shingles than the outer member shares with the pivot; the lacking ones lie outside the pivot. Outer
+  members that lack more than all inner ones together have leave; the others go to smaller regions, one
+  for each of their rarest shingles outside the pivot.
 Every link is inside one component at the end; pairs that are moot are not made.
 
 Before that, documents that share too few shingles with all others together leave, and equal sets are
@@ -25,11 +28,12 @@ table: empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from billflow.llm.arrays import mix, pieces, shingles, text_bytes, words
 from billflow.llm.exchange import buckets_for, exchange, packed, unpacked
@@ -201,25 +205,24 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _joined_regions(sets: DataFrame) -> DataFrame:
-    """p, doc, away, linked: documents at most 2t from a pivot of a region they are in.
+def _joined_regions(sets: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, DataFrame]]]:
+    """p, doc, size, inter, all, linked: documents at most 2t from a pivot of a region they are in, as far as
+    a link to it allows their sizes; and the members and pivots of each round.
 
-    A region has one pivot in the first round, then four, sixteen and so on for what is left of it, the
-    smallest document of each cell of a hash: few rounds even where hundreds of members are far apart.
+    A region has one pivot in the first round, then four, sixteen and so on of what is left of it, always
+    the smallest sets: few rounds even where hundreds of members are far apart.
     """
     members = written(_listing(sets), "jaccard-listing")
-    found = None
+    smallest = Window.partitionBy("key").orderBy("size", "doc")
+    found, rounds = None, []
     cells = 1
     while True:
-        pivots = members.groupBy("key", F.pmod(F.xxhash64("doc"), F.lit(cells)).alias("cell")).agg(
-            F.min(F.struct("doc", "size")).alias("pivot"))
-        pivots = pivots.select("key", F.col("pivot.doc").alias("p"),
-                               F.col("pivot.size").alias("p_size"))
-        close = members.join(pivots, "key").filter("doc <> p").filter(
-            100 * F.least("size", "p_size") >= LINK * F.greatest("size", "p_size"))
-        measured = written(_measured(close.select("p", "doc").distinct(), sets).filter(
-            100 * F.col("inter") >= (2 * LINK - 100) * F.col("all")).select(
-            "p", "doc", "size", "inter", "all", _linked().alias("linked")), "jaccard-measured")
+        pivots = members.withColumn("_rank", F.row_number().over(smallest)).filter(
+            F.col("_rank") <= cells).select("key", F.col("doc").alias("p"),
+                                            F.col("size").alias("p_size"))
+        rounds.append((members, pivots))
+        close = _larger(members, pivots).filter(100 * F.col("p_size") >= LINK * F.col("size"))
+        measured = written(_within_2t(close, sets), "jaccard-measured")
         found = measured if found is None else found.unionByName(measured)
         done = close.join(measured.filter("linked").select("p", "doc"), ["p", "doc"]).select(
             "key", "doc").unionByName(pivots.select("key", F.col("p").alias("doc")))
@@ -227,32 +230,65 @@ def _joined_regions(sets: DataFrame) -> DataFrame:
         alone = left.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
         members = written(left.join(alone, "key", "left_semi"), "jaccard-members")
         if members.isEmpty():
-            return found
+            return found, rounds
         cells *= 4
 
 
-def _boundary(found: DataFrame, labels: DataFrame) -> DataFrame:
-    """p, doc: pairs of a member within t of a pivot and one between t and 2t of it, as far as windows leave
-    them and the second is not in the pivot's component already.
+def _larger(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Each member with the pivots of its region that come before it by size."""
+    return members.join(pivots, "key").filter("size > p_size or size = p_size and doc > p")
 
-    The windows: distances to the pivot differ by at most t; and what two sets share is no more than the
-    smaller part that either shares with the pivot plus the smaller part that either has besides it.
+
+def _within_2t(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return _measured(pairs.select("p", "doc").distinct(), sets).filter(
+        100 * F.col("inter") >= (2 * LINK - 100) * F.col("all")).select(
+        "p", "doc", "size", "inter", "all", _linked().alias("linked"))
+
+
+def _outside(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Each (p, doc) with the shingles that doc has and p has not, as `key`."""
+    own = sets.select(F.col("doc").alias("_d"), F.col("keys").alias("_dk"))
+    pivot = sets.select(F.col("doc").alias("_p"), F.col("keys").alias("_pk"))
+    both = rows.join(own, rows["doc"] == own["_d"]).join(pivot, rows["p"] == pivot["_p"])
+    return both.select(*rows.columns, F.explode(F.array_except("_dk", "_pk")).alias("key"))
+
+
+def _boundary(found: DataFrame, rounds: list[tuple[DataFrame, DataFrame]], labels: DataFrame,
+              sets: DataFrame) -> DataFrame:
+    """p, doc: pairs of a member within t of a pivot and one between t and 2t of it that may link and are not
+    in one component already.
+
+    A link needs 175 * common >= 75 * (sum of sizes). What the outer member shares with the pivot is less, as
+    the inner member is no smaller than the pivot: `lack` shingles at least must come from outside it. The
+    outer member's shingles that any inner one has outside the pivot are put in order of how many have
+    them; one of all but the last lack - 1 must be common.
     """
+    near = written(found.filter("linked").select("p", "doc", "size").distinct(), "jaccard-near")
+    inner = near.groupBy("p").agg(F.min("size").alias("least"))
+    # members too large for a link to the pivot may still have one to what links to it
+    wide = reduce(DataFrame.unionByName, [
+        _larger(members, pivots.join(inner, "p", "left_semi")).filter(
+            (100 * F.col("p_size") < LINK * F.col("size"))
+            & (100 * 100 * F.col("p_size") >= LINK * LINK * F.col("size"))).select("p", "doc")
+        for members, pivots in rounds])
+    apart = found.filter("not linked").join(inner, "p", "left_semi").unionByName(
+        _within_2t(wide, sets)).select("p", "doc", "size", "inter").distinct()
     of_pivot = labels.select(F.col("doc").alias("p"), F.col("label").alias("_lp"))
-    away = 1 - F.col("inter") / F.col("all")
-
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select("p", F.col("doc").alias(name), away.alias(f"_d{name}"),
-                           F.col("size").alias(f"_s{name}"), F.col("inter").alias(f"_i{name}"))
-    mid = side(found.filter("not linked").distinct().join(labels, "doc").join(of_pivot, "p").filter(
-        "label <> _lp"), "mid")
-    near = side(found.filter("linked").distinct(), "near")
-    shared = F.least("_imid", "_inear") + F.least(F.col("_smid") - F.col("_imid"),
-                                                  F.col("_snear") - F.col("_inear"))
-    window = (F.col("_dmid") - F.col("_dnear") <= 1 - LINK / 100 + 1e-9) & (
-        (100 + LINK) * shared >= LINK * (F.col("_smid") + F.col("_snear")))
-    return mid.join(near, "p").filter(window).select(
-        F.least("mid", "near").alias("p"), F.greatest("mid", "near").alias("doc")).distinct()
+    mid = written(apart.join(labels, "doc").join(of_pivot, "p").filter("label <> _lp").join(
+        inner, "p").select("p", "doc", (F.ceil(
+            LINK * (F.col("size") + F.greatest("least", _need(F.col("size")))) / (100 + LINK))
+            - F.col("inter")).alias("lack")), "jaccard-mid")
+    held = written(_outside(near.select("p", "doc").join(mid.select("p").distinct(), "p", "left_semi"),
+                            sets), "jaccard-outside")
+    often = held.groupBy("p", "key").agg(F.count("*").alias("often"))
+    shared = _outside(mid, sets).join(often, ["p", "key"]).groupBy("p", "doc", "lack").agg(
+        F.sort_array(F.collect_list(F.struct("often", "key"))).alias("shared"))
+    places = F.size("shared") - F.col("lack") + 1
+    asked = shared.filter(places > 0).select(
+        "p", F.col("doc").alias("mid"), F.explode(F.slice("shared", 1, places)).alias("s")).select(
+        "p", "mid", F.col("s.key").alias("key"))
+    return asked.join(held, ["p", "key"]).select(
+        F.least("mid", "doc").alias("p"), F.greatest("mid", "doc").alias("doc")).distinct()
 
 
 def linked_components(docs: DataFrame, n: int = WORDS) -> DataFrame:
@@ -277,10 +313,10 @@ def linked_components(docs: DataFrame, n: int = WORDS) -> DataFrame:
         ["doc_id"])
     sets = written(near.mapInArrow(to_sets, "doc long, size long, keys array<long>"),
                    "jaccard-sets")
-    found = _joined_regions(sets)
+    found, rounds = _joined_regions(sets)
     links, nodes = found.filter("linked").select("p", "doc"), sets.select("doc")
     labels = components(nodes, links)
-    more = written(_measured(_boundary(found, labels), sets).filter(_linked()).select("p", "doc"),
+    more = written(_measured(_boundary(found, rounds, labels, sets), sets).filter(_linked()).select("p", "doc"),
                    "jaccard-boundary")
     if not more.isEmpty():
         labels = components(nodes, links.unionByName(more))

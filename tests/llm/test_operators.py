@@ -109,6 +109,29 @@ def test_jaccard_join_many_rounds(spark):
     assert got == brute_components(made)
 
 
+def test_jaccard_join_across_sizes(spark):
+    """Texts that grow step by step: each links to the next alone, often too large for the pivot of its region;
+    and families whose members differ in length, with edits and cuts of their own."""
+    rng = random.Random(23)
+    made = []
+    for family in range(4):
+        base = [f"f{family}w{i}" for i in range(400)]
+        size = 30.0
+        while size < 400:
+            made.append(base[:int(size)])
+            size *= (1.2, 1.3, 1.36, 1.1)[family]
+        for _ in range(25):
+            words = base[rng.randrange(30):260 + rng.randrange(60)]
+            for _ in range(rng.randint(0, 12)):
+                words[rng.randrange(len(words))] = f"e{rng.randrange(20)}"
+            made.append(words)
+    texts = dict(zip(rng.sample(range(10 * len(made)), len(made)), (" ".join(w) for w in made)))
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in jaccard_join.linked_components(rows).collect()}
+    assert got == brute_components(texts)
+
+
 def test_substring_dedup(docs, texts, spark, empty):
     extra = docs.unionByName(spark.createDataFrame([(None, texts[5])], docs.schema))
     rows = substring_dedup.without_copies(extra.withColumn("_keys", F.lit("mine"))).collect()
