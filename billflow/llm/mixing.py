@@ -73,8 +73,8 @@ def train(docs: DataFrame, domains: DataFrame, names: list[str]) -> tuple[np.nda
     chosen = domains.filter(F.col("domain").isin(names)).select(
         F.col("doc_id").alias("_id"), "domain").orderBy(F.xxhash64("_id"), "_id", "domain").limit(
         TRAINED_ON)
-    rows = written(docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["_id"])
-                   .select("text", "domain"), "labelled")
+    rows = written(docs.select(F.col("doc_id").alias("_doc"), "text").join(
+        F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("text", "domain"), "labelled")
     width = BINS + 48
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,4 +246,6 @@ def keep_mixed(docs: DataFrame, domains: DataFrame, targets: dict[str, float] |
     target are thinned out and nothing is repeated."""
     chosen = mixed(docs, domains, targets, most=1.0).filter("copies > 0").select(
         F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_kept_id"]), "left_semi")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+                        F.col("doc_id").alias("_doc"))
+    return whole.join(chosen, F.col("_doc").eqNullSafe(F.col("_kept_id")), "left_semi").select("_row.*")

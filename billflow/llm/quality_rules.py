@@ -233,7 +233,8 @@ def labelled_stats(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> Da
     marks = labels.filter(F.col("quality").isNotNull()).select(
         F.col("doc_id").alias("_id"), (F.col("quality") == 0).cast("int").alias("bad"))
     marks = marks.orderBy(F.xxhash64("_id"), "_id", "bad").limit(most)
-    chosen = docs.join(F.broadcast(marks), docs["doc_id"] == marks["_id"]).select("bad", "text")
+    chosen = docs.select(F.col("doc_id").alias("_doc"), "text").join(
+        F.broadcast(marks), F.col("_doc") == F.col("_id")).select("bad", "text")
     return text_stats(chosen, "bad").filter(~base_failed()).select("bad", *STATS)
 
 

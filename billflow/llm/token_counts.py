@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from billflow.llm.arrays import pieces
 
@@ -368,5 +368,5 @@ def with_token_counts(docs: DataFrame, vocabulary: str, limit: int = 512) -> Dat
                 [batch.column("doc_id"), size, tokens, pc.greater(tokens, limit)],
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         counted, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

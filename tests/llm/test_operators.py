@@ -445,3 +445,26 @@ def test_mixing(spark, sf_dir, empty):
     assert sum(best[r.doc_id] == r.domain for r in known) / len(known) > 0.9
     assert mixing.mixed(empty, labels).count() == 0
     assert mixing.mixed(docs, labels.limit(0)).count() == docs.count()
+
+
+def test_clashing_columns_and_narrow_ids(spark, sf_dir):
+    """Names that the operators use inside, and doc_id as int."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    odd = docs.select(F.col("doc_id").cast("int").alias("doc_id"), "text", F.lit(1).alias("bad"),
+                      F.lit("x").alias("_id"), F.lit(None).alias("domain"),
+                      F.lit(2).alias("_kept_id"), F.lit("y").alias("a.b"))
+
+    def ids(rows):
+        return sorted(r[0] for r in rows.select("doc_id").collect())
+    good = quality_rules.keep_good(odd, labels)
+    assert good.columns == odd.columns
+    assert ids(good) == ids(quality_rules.keep_good(docs, labels))
+    kept = mixing.keep_mixed(odd, mixing.domain_labels(labels))
+    assert kept.columns == odd.columns and kept.schema["doc_id"].dataType == odd.schema["doc_id"].dataType
+    # an id's chance is drawn from its hash, which depends on its type
+    same = docs.withColumn("doc_id", F.col("doc_id").cast("int"))
+    assert ids(kept) == ids(mixing.keep_mixed(same, mixing.domain_labels(labels)))
+    vocabulary = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    counted = token_counts.with_token_counts(odd.limit(20), vocabulary)
+    assert counted.count() == 20 and counted.schema["doc_id"].dataType.simpleString() == "bigint"
