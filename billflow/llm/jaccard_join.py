@@ -5,16 +5,15 @@ attract nobody. Regions are therefore made around what sets share: the index kee
 its rarest shingles, so many that any partner must share one of them. All documents that list a shingle
 form a region whose pivot is its smallest document (more pivots where the region goes on).
 
-Join of a region. Its pivot is its smallest set, and every other member is measured against it (t is the
-largest distance of a link):
+Join of a region. Every member is measured against the pivot (t is the largest distance of a link):
 - within t: linked. Two such members are in one component by way of the pivot, so their pair is moot;
 - beyond 2t: by the triangle inequality no member within t can link to it. These are joined among
   themselves as a region with new pivots, and so on;
 - between t and 2t, the boundary: likewise, and also replicated to the members within t, if both are not
-  in one component already. As the pivot is the smallest, a link over the boundary needs more common
-  shingles than the outer member shares with the pivot; the lacking ones lie outside the pivot. Outer
-  members that lack more than all inner ones together have leave; the others go to smaller regions, one
-  for each of their rarest shingles outside the pivot.
+  in one component already. A link to an inner member no smaller than the pivot needs more common shingles
+  than the outer member shares with the pivot; the lacking ones lie outside the pivot. Outer members
+  that lack more than all inner ones together have leave; the others go to smaller regions, one for each
+  of their rarest shingles outside the pivot. Inner members smaller than the pivot have a window by size.
 Every link is inside one component at the end; pairs that are moot are not made.
 
 Before that, documents that share too few shingles with all others together leave, and equal sets are
@@ -33,7 +32,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from billflow.llm.arrays import mix, pieces, shingles, text_bytes, words
 from billflow.llm.exchange import buckets_for, exchange, packed, unpacked
@@ -155,6 +154,11 @@ def _need(size: Column) -> Column:
     return F.ceil(LINK * size / 100)
 
 
+def _common(one: Column, two: Column) -> Column:
+    """How many shingles linked sets of these sizes have in common at least."""
+    return F.ceil(LINK * (one + two) / (100 + LINK))
+
+
 def _listing(sets: DataFrame) -> DataFrame:
     """key, doc, size: for each document its rarest shingles that it shares with others, so many that a
     partner must have one of them. Unshared shingles are the rarest of all and take up places."""
@@ -209,19 +213,20 @@ def _joined_regions(sets: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, D
     """p, doc, size, inter, all, linked: documents at most 2t from a pivot of a region they are in, as far as
     a link to it allows their sizes; and the members and pivots of each round.
 
-    A region has one pivot in the first round, then four, sixteen and so on of what is left of it, always
-    the smallest sets: few rounds even where hundreds of members are far apart.
+    A region has one pivot in the first round, then four, sixteen and so on for what is left of it, the
+    smallest document of each cell of a hash: few rounds even where hundreds of members are far apart.
     """
     members = written(_listing(sets), "jaccard-listing")
-    smallest = Window.partitionBy("key").orderBy("size", "doc")
     found, rounds = None, []
     cells = 1
     while True:
-        pivots = members.withColumn("_rank", F.row_number().over(smallest)).filter(
-            F.col("_rank") <= cells).select("key", F.col("doc").alias("p"),
-                                            F.col("size").alias("p_size"))
+        pivots = members.groupBy("key", F.pmod(F.xxhash64("doc"), F.lit(cells)).alias("cell")).agg(
+            F.min(F.struct("doc", "size")).alias("pivot"))
+        pivots = pivots.select("key", F.col("pivot.doc").alias("p"),
+                               F.col("pivot.size").alias("p_size"))
         rounds.append((members, pivots))
-        close = _larger(members, pivots).filter(100 * F.col("p_size") >= LINK * F.col("size"))
+        close = members.join(pivots, "key").filter("doc <> p").filter(
+            100 * F.least("size", "p_size") >= LINK * F.greatest("size", "p_size"))
         measured = written(_within_2t(close, sets), "jaccard-measured")
         found = measured if found is None else found.unionByName(measured)
         done = close.join(measured.filter("linked").select("p", "doc"), ["p", "doc"]).select(
@@ -234,11 +239,6 @@ def _joined_regions(sets: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, D
         cells *= 4
 
 
-def _larger(members: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Each member with the pivots of its region that come before it by size."""
-    return members.join(pivots, "key").filter("size > p_size or size = p_size and doc > p")
-
-
 def _within_2t(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return _measured(pairs.select("p", "doc").distinct(), sets).filter(
         100 * F.col("inter") >= (2 * LINK - 100) * F.col("all")).select(
@@ -258,36 +258,45 @@ def _boundary(found: DataFrame, rounds: list[tuple[DataFrame, DataFrame]], label
     """p, doc: pairs of a member within t of a pivot and one between t and 2t of it that may link and are not
     in one component already.
 
-    A link needs 175 * common >= 75 * (sum of sizes). What the outer member shares with the pivot is less, as
-    the inner member is no smaller than the pivot: `lack` shingles at least must come from outside it. The
-    outer member's shingles that any inner one has outside the pivot are put in order of how many have
-    them; one of all but the last lack - 1 must be common.
+    A link needs 175 * common >= 75 * (sum of sizes). If that is more than the outer member shares with the
+    pivot, `lack` shingles at least must come from outside the pivot. The outer member's shingles that
+    any inner one has outside the pivot are put in order of how many have them; one of all but the
+    last lack - 1 must be common. If it is not more, the inner member is smaller than the pivot.
     """
-    near = written(found.filter("linked").select("p", "doc", "size").distinct(), "jaccard-near")
+    p_size = (F.col("all") - F.col("size") + F.col("inter")).alias("p_size")
+    near = written(found.filter("linked").select("p", "doc", "size", p_size).distinct(),
+                   "jaccard-near")
     inner = near.groupBy("p").agg(F.min("size").alias("least"))
-    # members too large for a link to the pivot may still have one to what links to it
+    # members whose sizes allow no link to the pivot may still have one to what links to it
+    smaller, larger = F.least("size", "p_size"), F.greatest("size", "p_size")
     wide = reduce(DataFrame.unionByName, [
-        _larger(members, pivots.join(inner, "p", "left_semi")).filter(
-            (100 * F.col("p_size") < LINK * F.col("size"))
-            & (100 * 100 * F.col("p_size") >= LINK * LINK * F.col("size"))).select("p", "doc")
+        members.join(pivots.join(inner, "p", "left_semi"), "key").filter(
+            (100 * smaller < LINK * larger) & (100 * 100 * smaller >= LINK * LINK * larger))
+        .select("p", "doc")
         for members, pivots in rounds])
     apart = found.filter("not linked").join(inner, "p", "left_semi").unionByName(
         _within_2t(wide, sets)).select("p", "doc", "size", "inter").distinct()
     of_pivot = labels.select(F.col("doc").alias("p"), F.col("label").alias("_lp"))
-    mid = written(apart.join(labels, "doc").join(of_pivot, "p").filter("label <> _lp").join(
-        inner, "p").select("p", "doc", (F.ceil(
-            LINK * (F.col("size") + F.greatest("least", _need(F.col("size")))) / (100 + LINK))
-            - F.col("inter")).alias("lack")), "jaccard-mid")
+    mid = apart.join(labels, "doc").join(of_pivot, "p").filter("label <> _lp").join(inner, "p")
+    lack = _common(F.col("size"), F.greatest("least", _need(F.col("size")))) - F.col("inter")
+    mid = written(mid.select("p", "doc", "size", "inter", F.greatest(lack, F.lit(1)).alias("lack")),
+                  "jaccard-mid")
+    less = near.filter(F.col("size") < F.col("p_size")).select(
+        "p", F.col("doc").alias("near"), F.col("size").alias("_size"))
+    by_size = mid.join(less, "p").filter(
+        F.col("inter") >= _common(F.col("size"), F.greatest("_size", _need(F.col("size"))))).select(
+        "p", F.col("doc").alias("mid"), F.col("near").alias("doc"))
     held = written(_outside(near.select("p", "doc").join(mid.select("p").distinct(), "p", "left_semi"),
                             sets), "jaccard-outside")
     often = held.groupBy("p", "key").agg(F.count("*").alias("often"))
-    shared = _outside(mid, sets).join(often, ["p", "key"]).groupBy("p", "doc", "lack").agg(
+    shared = _outside(mid.select("p", "doc", "lack"), sets).join(often, ["p", "key"]).groupBy("p", "doc", "lack").agg(
         F.sort_array(F.collect_list(F.struct("often", "key"))).alias("shared"))
     places = F.size("shared") - F.col("lack") + 1
     asked = shared.filter(places > 0).select(
         "p", F.col("doc").alias("mid"), F.explode(F.slice("shared", 1, places)).alias("s")).select(
         "p", "mid", F.col("s.key").alias("key"))
-    return asked.join(held, ["p", "key"]).select(
+    by_key = asked.join(held, ["p", "key"]).select("p", "mid", "doc")
+    return by_key.unionByName(by_size).select(
         F.least("mid", "doc").alias("p"), F.greatest("mid", "doc").alias("doc")).distinct()
 
 
