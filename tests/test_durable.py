@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from billflow.operators.evaluate import observed_progress
 from billflow.operators.lookup import number_rows
 from billflow.plans.store import StagingStore, StoreBusy
-from billflow.sources.ledger import Ledger, call_key, extract_through_ledger
+from billflow.sources.ledger import Ledger, LedgerWriter, call_key, extract_through_ledger
 from tests.test_flows import DDL, GOOD
 
 
@@ -135,3 +135,32 @@ def test_progress_comes_with_the_action(spark):
     rows, seen = observed_progress(attempts)
     assert rows.count() == 2
     assert seen.get == {"n_attempts": 2, "n_failed": 1, "last_bill": 7}
+
+
+def test_ledger_takes_the_room_of_its_answers(spark, tmp_path):
+    """Answers share files, by bucket: 6,000 of them take fewer files than that, and all are found again."""
+    names = spark.range(6000).selectExpr("concat('f', id) AS file_name")
+    root = str(tmp_path / "ledger")
+
+    def run(partitions):
+        rows = extract_through_ledger(names, lambda name: {"name": name}, root, partitions=partitions).collect()
+        assert all(r.raw == json.dumps({"name": r.file_name}) and r.attempts == 1 for r in rows)
+        return [r.from_ledger for r in rows]
+    assert run(4) == [False] * 6000
+    files = [f for f in (tmp_path / "ledger").rglob("*") if f.is_file()]
+    assert len(files) <= 4096 < 6000
+    assert run(3) == [True] * 6000
+
+
+def test_ledger_reads_older_and_merged_files(tmp_path):
+    ledger, old, new = Ledger(str(tmp_path)), "cd" * 32, ["ab" * 32, "ab" * 31 + "00"]
+    (tmp_path / "cd").mkdir()
+    (tmp_path / "cd" / old).write_text('{"raw": "old"}')
+    with LedgerWriter(ledger, appends=False) as writer:
+        for i, key in enumerate(new):
+            writer.put(key, {"raw": i})
+            assert ledger.get(key) == {"raw": i}  # before the file of the bucket is made
+    assert len(list((tmp_path / "aba").iterdir())) == 1
+    with open(next((tmp_path / "aba").iterdir()), "ab") as file:
+        file.write(b"ab0 {")  # a killed writer's last line
+    assert ledger.known([old, *new, "ef" * 32]) == {old: {"raw": "old"}, new[0]: {"raw": 0}, new[1]: {"raw": 1}}
