@@ -1,7 +1,9 @@
 """Streams with state: restarts, late rows, attempts that take back, and the pace."""
 
 import json
+import uuid
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from billflow.operators.evaluate import field_metrics
@@ -115,3 +117,29 @@ def test_pace_is_kept(spark, tmp_path):
         assert times[-1] - times[0] >= 3 * 700
         for i, t in enumerate(times):
             assert sum(1 for u in times[:i + 1] if t - u < 700) <= 3  # a burst and one more
+
+
+def counted(processor, folder):
+    """The processor, which leaves a file in the folder for each group it is called for."""
+    handle = processor.handleInputRows
+
+    def told(key, rows, timers):
+        (folder / uuid.uuid4().hex).touch()
+        return handle(key, rows, timers)
+    processor.handleInputRows = told
+    return processor
+
+
+def test_keys_share_groups(spark, tmp_path, monkeypatch):
+    """Each group has a fixed cost of its own, so there are not as many as keys."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    made = state.RecentDeliveries
+    monkeypatch.setattr(state, "RecentDeliveries", lambda ms: counted(made(ms), calls))
+    rows = spark.range(2000).selectExpr("concat('k', id % 1500) AS invoice_hash",
+                                        "timestamp '2024-05-01' AS at")
+    arrive(rows, str(tmp_path / "in"))
+    told = run(spark, tmp_path, "invoice_hash string, at timestamp",
+               lambda s: state.stream_deliveries(s, "at", "1 day", live_days=4))
+    assert told.where("outcome = 'kept'").count() == told.count() == 1500
+    assert 0 < len(list(calls.iterdir())) <= 300
