@@ -143,3 +143,13 @@ def test_keys_share_groups(spark, tmp_path, monkeypatch):
                lambda s: state.stream_deliveries(s, "at", "1 day", live_days=4))
     assert told.where("outcome = 'kept'").count() == told.count() == 1500
     assert 0 < len(list(calls.iterdir())) <= 300
+
+
+def test_bills_share_changes(spark, tmp_path):
+    """Changes are added up for a bucket, not written for each bill, model and field."""
+    rows = [(str(i), m, 1, i % 3 == 0) for i in range(1000) for m in ("m", "n")]
+    scored = scored_rows(spark, rows)
+    arrive(scored, str(tmp_path / "in"))
+    changes = run(spark, tmp_path, scored.schema, lambda s: state.stream_metric_changes(s, buckets=8))
+    assert changes.count() <= 8 * (1 + 2 * 6)
+    assert ("m", "total_amount", 334, 1000) in {tuple(r) for r in state.metrics_from_changes(changes).collect()}
