@@ -153,3 +153,35 @@ def test_bills_share_changes(spark, tmp_path):
     changes = run(spark, tmp_path, scored.schema, lambda s: state.stream_metric_changes(s, buckets=8))
     assert changes.count() <= 8 * (1 + 2 * 6)
     assert ("m", "total_amount", 334, 1000) in {tuple(r) for r in state.metrics_from_changes(changes).collect()}
+
+
+def test_many_requests_wait_in_few_entries(spark, tmp_path, monkeypatch):
+    """5,000 requests wait and come out once each, in order of arrival, in a handful of state entries."""
+    entries = []
+
+    class Map(dict):
+        def updateValue(self, key, value):
+            entries.append(key)
+            self[key] = value
+        getValue, removeKey = dict.__getitem__, dict.__delitem__
+
+    class One:
+        value = None
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+        update = lambda self, value: setattr(self, "value", value)
+
+    class Handle:
+        getMapState = lambda self, *names: Map()
+        getValueState = lambda self, *names: One()
+        registerTimer = lambda self, at: None
+
+    bucket = state.TokenBucket(pace_ms=1.0, burst=2500)
+    bucket.init(Handle())
+    frame = pd.DataFrame({"request": [f"r{i:04d}" for i in range(5000)]})
+    out = []
+    for now, frames in ((10_000, [frame]), (10_700, []), (12_500, []), (99_999, [])):
+        out.append(pd.concat(list(bucket._release(("m",), now, iter(frames))))["request"].tolist())
+    assert [len(o) for o in out] == [2500, 700, 1800, 0]
+    assert sum(out, []) == list(frame["request"]) and len(entries) <= 10
+    assert not bucket.waiting
