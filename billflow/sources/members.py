@@ -21,7 +21,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SPLIT_BYTES = 32 << 20
-AHEAD = 1 << 20  # bytes read at once behind a range, to the end of its last member
+AHEAD = 1 << 20  # bytes read at once behind a range, to the end of its last member, at most
+FIRST_AHEAD = 1 << 12  # and at first: members are short against a range
 
 _TEXT = rb'"(?:[^"\\]|\\.)*"'
 _BEGIN = re.compile(rb'\}\s*,\s*(?=' + _TEXT + rb'\s*:\s*\{)', re.DOTALL)
@@ -76,7 +77,7 @@ class MembersReader(DataSourceReader):
             starts = [head.end() if head else 0]
         else:
             starts = []
-        reached, scanned = part.high, 0
+        reached, scanned, ahead = part.high, 0, FIRST_AHEAD
         while True:
             # a beginning may lie across the end of what was read, so the last place is looked at again
             for found in _BEGIN.finditer(data, scanned):
@@ -87,8 +88,8 @@ class MembersReader(DataSourceReader):
             if not any(base + s >= part.low for s in starts) and reached > part.high + AHEAD:
                 return  # the range lies within a member that begins before it
             scanned = max([s for s in starts] + [0])
-            more = bytes_of(reached, min(reached + AHEAD, part.size))
-            reached += len(more)
+            more = bytes_of(reached, min(reached + ahead, part.size))
+            reached, ahead = reached + len(more), min(2 * ahead, AHEAD)
             data += more
         mine = sorted({s for s in starts if part.low <= base + s < part.high})
         if not mine:

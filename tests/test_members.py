@@ -51,3 +51,36 @@ def test_broken_members_are_rows(spark, tmp_path):
     assert [(r.file, r.vendor_name, r.error) for r in rows.collect()] == [
         ("a", "V", None), ("b", None, "record is no JSON object"),
         (None, None, "line is no JSON object")]
+
+
+def test_one_file_of_ordered_ranges(spark, tmp_path, monkeypatch):
+    """Many tasks write an ordered object; the copy makes one file of their ranges, in order."""
+    from checks import queries
+    monkeypatch.setattr(queries, "fresh_dir", lambda spark, purpose: str(tmp_path / purpose))
+    lines = spark.range(5000).select(F.concat(F.lit("line "), "id").alias("value"), "id").repartitionByRange(
+        5, "id").sortWithinPartitions("id").select("value")
+    queries._one_file(spark, lines, str(tmp_path / "one"))
+    assert len(list((tmp_path / "ranges").glob("part-*"))) > 1
+    file, = (tmp_path / "one").iterdir()
+    assert file.read_text().splitlines() == [f"line {i}" for i in range(5000)]
+
+
+def test_a_range_reads_little_behind_itself(tmp_path):
+    """The member that a range ends in is short; a mebibyte behind each range would be read many times over."""
+    from billflow.sources.members import MembersReader
+    path = tmp_path / "t.json"
+    path.write_text(json.dumps({f"bill_{i}": {"n": i} for i in range(200_000)}))
+    reader, read = MembersReader(str(path), 1 << 16), []
+
+    class File:
+        def __init__(self, file):
+            self.file, self.seek = file, file.seek
+
+        def read(self, n):
+            data = self.file.read(n)
+            read.append(len(data))
+            return data
+    with open(path, "rb") as file:
+        rows = [r for part in reader.partitions() for r in reader._members(File(file), part)]
+    assert len(rows) == 200_000 and not any(r[2] for r in rows)
+    assert sum(read) < 1.2 * path.stat().st_size
