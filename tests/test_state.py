@@ -185,3 +185,70 @@ def test_many_requests_wait_in_few_entries(spark, tmp_path, monkeypatch):
     assert [len(o) for o in out] == [2500, 700, 1800, 0]
     assert sum(out, []) == list(frame["request"]) and len(entries) <= 10
     assert not bucket.waiting
+
+
+class Handle:
+    """State in dictionaries, with the calls counted."""
+
+    def __init__(self):
+        self.calls, self.maps, self.values = 0, {}, {}
+
+    def getMapState(self, name, key, value):
+        return Entry(self, self.maps.setdefault(name, {}))
+
+    def getValueState(self, name, schema):
+        return Entry(self, self.values.setdefault(name, {}))
+
+
+class Entry:
+    def __init__(self, handle, held):
+        self.handle, self.held = handle, held
+
+    def _called(self):
+        self.handle.calls += 1
+
+    def containsKey(self, key):
+        self._called()
+        return key in self.held
+
+    def getValue(self, key):
+        self._called()
+        return self.held[key]
+
+    def updateValue(self, key, value):
+        self._called()
+        self.held[key] = value
+
+    def exists(self):
+        return () in self.held
+
+    def get(self):
+        return self.held[()]
+
+    def update(self, value):
+        self.held[()] = value
+
+
+def test_known_names_take_few_calls_of_the_state_and_lose_none():
+    handle, told, kind = Handle(), {}, "invoice"
+    names = [f"name {i}" for i in range(3000)] + [None]
+    batches = [names[:1], names[:40], names[30:1000], names[5:7], names[900:] + names[:10], names]
+    for batch in batches:
+        processor = state.KnownNames(buckets=4)
+        processor.init(handle)
+        handle.calls = 0
+        rows = pd.DataFrame({"seq": range(len(batch)), "name": batch, "first": "f", "last": "l"})
+        out = pd.concat(processor.handleInputRows((kind, 2), iter([rows[1::2], rows[::2]]), None))
+        assert handle.calls <= 4 + 2 * len(batch)
+        if len(batch) > 500:
+            assert handle.calls < len(batch) / 5
+        assert len(out) == len(batch)
+        for name, number, version, first in zip(out["name"], out["id"], out["version"], out["first"]):
+            name = None if pd.isna(name) else name
+            known = told.get(name)
+            assert number == (known[0] if known else 3 + 4 * len(told))
+            assert version == (known[1] + 1 if known else 1) and pd.isna(first) == bool(known)
+            told[name] = (number, version)
+    parts = handle.maps["known"].values()
+    assert sum(len(p[0]) for p in parts) == len(names)
+    assert max(len(p[0]) for p in parts) < 6 * state.KnownNames.PART
