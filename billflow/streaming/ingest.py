@@ -27,8 +27,13 @@ def stream_ingest(documents: DataFrame, store: StagingStore, checkpoint: str,
     """Validate, route and upsert each micro-batch, each at most once. The writer's name is the checkpoint,
     whose numbers start again with it."""
     writer = f"stream {checkpoint}"
-    return (documents.writeStream
-            .foreachBatch(lambda batch, number: store.load(batch, number, writer=writer))
+
+    def load(batch: DataFrame, number: int) -> None:
+        # a file is often one split: its documents are validated by all cores, not by one for each file
+        spread = batch.repartition(batch.sparkSession.sparkContext.defaultParallelism)
+        store.load(spread, number, writer=writer)
+
+    return (documents.writeStream.foreachBatch(load)
             .option("checkpointLocation", checkpoint)
             .trigger(**_trigger(pace)).start())
 

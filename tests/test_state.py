@@ -252,3 +252,16 @@ def test_known_names_take_few_calls_of_the_state_and_lose_none():
     parts = handle.maps["known"].values()
     assert sum(len(p[0]) for p in parts) == len(names)
     assert max(len(p[0]) for p in parts) < 6 * state.KnownNames.PART
+
+
+def test_documents_of_one_file_are_loaded_by_many_tasks(spark, tmp_path):
+    class Store:
+        tasks = 0
+
+        def load(self, batch, number, writer):
+            self.tasks = batch.select(F.spark_partition_id()).distinct().count()
+
+    arrive(spark.createDataFrame([(f"{i}.jpg", i, "{") for i in range(200)], DDL), str(tmp_path / "in"))
+    stream, store = ingest.document_stream(spark, str(tmp_path / "in"), DDL, files_per_batch=1), Store()
+    ingest.stream_ingest(stream, store, str(tmp_path / "checkpoint")).awaitTermination()
+    assert store.tasks > 1
