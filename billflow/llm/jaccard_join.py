@@ -3,7 +3,10 @@
 Regions. Nearly all sets lie at distance 1 from each other, so a pivot drawn from all documents would
 attract nobody. Regions are therefore made around what sets share: the index keeps, for each document,
 its rarest shingles, so many that any partner must share one of them. All documents that list a shingle
-form a region whose pivot is its smallest document (more pivots where the region goes on).
+form a region whose pivot is its smallest document (more pivots where the region goes on). Of two linked
+sets the smaller one (both, if equal in size) lists a common shingle among its `low` ones, the rarest that a
+partner no smaller must share; two members of a region are compared only there, and only if both share
+enough shingles with any others for a link of their sizes.
 
 Join of a region. Every member is measured against the pivot (t is the largest distance of a link):
 - within t: linked. Two such members are in one component by way of the pivot, so their pair is moot;
@@ -160,16 +163,19 @@ def _common(one: Column, two: Column) -> Column:
 
 
 def _listing(sets: DataFrame) -> DataFrame:
-    """key, doc, size: for each document its rarest shingles that it shares with others, so many that a
-    partner must have one of them. Unshared shingles are the rarest of all and take up places."""
+    """key, doc, size, met, low: for each document its rarest shingles that it shares with others, so many that a
+    partner must have one of them, and whether a partner no smaller must have one up to this. Unshared shingles are
+    the rarest of all and take up places; `met` is the number of shared ones."""
     flat = sets.select("doc", "size", F.explode("keys").alias("key"))
     often = flat.groupBy("key").agg(F.count("*").alias("often")).filter("often > 1")
     found = flat.join(often, "key").groupBy("doc", "size").agg(
         F.sort_array(F.collect_list(F.struct("often", "key"))).alias("shared"))
     found = found.filter(F.size("shared") >= _need(F.col("size")))
-    places = F.col("size") - _need(F.col("size")) + 1 - (F.col("size") - F.size("shared"))
-    return found.select("doc", "size", F.explode(F.slice("shared", 1, places)).alias("s")).select(
-        F.col("s.key").alias("key"), "doc", "size")
+    size, met = F.col("size"), F.size("shared").cast("long")
+    places = met - _need(size) + 1
+    return found.select("doc", "size", met.alias("met"), (met - _common(size, size) + 1).alias("n_low"),
+                        F.posexplode(F.slice("shared", 1, places)).alias("place", "s")).select(
+        F.col("s.key").alias("key"), "doc", "size", "met", (F.col("place") < F.col("n_low")).alias("low"))
 
 
 def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -183,6 +189,14 @@ def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                        (F.size("_dk") + F.size("_pk") - inter).alias("all"))
 
 
+def _may_link() -> Column:
+    """Whether a member of a region and a pivot may link, and this region has to find it."""
+    size, p_size = F.col("size"), F.col("p_size")
+    return ((100 * F.least(size, p_size) >= LINK * F.greatest(size, p_size))
+            & (F.least("met", "p_met") >= _common(size, p_size))
+            & (F.col("low") | (size > p_size)) & (F.col("p_low") | (size < p_size)))
+
+
 def _linked() -> Column:
     return 100 * F.col("inter") >= LINK * F.col("all")
 
@@ -209,9 +223,12 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _joined_regions(sets: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, DataFrame]]]:
+Round = tuple[DataFrame, DataFrame, DataFrame]
+
+
+def _joined_regions(sets: DataFrame) -> tuple[DataFrame, list[Round]]:
     """p, doc, size, inter, all, linked: documents at most 2t from a pivot of a region they are in, as far as
-    a link to it allows their sizes; and the members and pivots of each round.
+    they may link to it; and of each round the members, the pivots and, by region, the members within t of them.
 
     A region has one pivot in the first round, then four, sixteen and so on for what is left of it, the
     smallest document of each cell of a hash: few rounds even where hundreds of members are far apart.
@@ -221,19 +238,22 @@ def _joined_regions(sets: DataFrame) -> tuple[DataFrame, list[tuple[DataFrame, D
     cells = 1
     while True:
         pivots = members.groupBy("key", F.pmod(F.xxhash64("doc"), F.lit(cells)).alias("cell")).agg(
-            F.min(F.struct("doc", "size")).alias("pivot"))
-        pivots = pivots.select("key", F.col("pivot.doc").alias("p"),
-                               F.col("pivot.size").alias("p_size"))
-        rounds.append((members, pivots))
-        close = members.join(pivots, "key").filter("doc <> p").filter(
-            100 * F.least("size", "p_size") >= LINK * F.greatest("size", "p_size"))
+            F.min(F.struct("doc", "size", "met", "low")).alias("pivot"))
+        pivots = pivots.select("key", F.col("pivot.doc").alias("p"), *[
+            F.col(f"pivot.{c}").alias(f"p_{c}") for c in ("size", "met", "low")])
+        close = members.join(pivots, "key").filter("doc <> p").filter(_may_link())
         measured = written(_within_2t(close, sets), "jaccard-measured")
         found = measured if found is None else found.unionByName(measured)
-        done = close.join(measured.filter("linked").select("p", "doc"), ["p", "doc"]).select(
-            "key", "doc").unionByName(pivots.select("key", F.col("p").alias("doc")))
+        inside = written(measured.filter("linked").select("p", "doc").join(pivots.select("key", "p"), "p").join(
+            members, ["key", "doc"]), "jaccard-inside")
+        rounds.append((members, pivots, inside))
+        done = inside.select("key", "doc").unionByName(pivots.select("key", F.col("p").alias("doc")))
         left = members.join(done.distinct(), ["key", "doc"], "left_anti")
-        alone = left.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-        members = written(left.join(alone, "key", "left_semi"), "jaccard-members")
+        # a member that is not low here has to meet a smaller one that is
+        partners = left.groupBy("key").agg(F.count("*").alias("n"), F.min(F.when(F.col("low"), F.col(
+            "size"))).alias("least_low")).filter("n > 1")
+        members = written(left.join(partners, "key").filter("low or least_low < size").drop("n", "least_low"),
+                          "jaccard-members")
         if members.isEmpty():
             return found, rounds
         cells *= 4
@@ -253,7 +273,7 @@ def _outside(rows: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select(*rows.columns, F.explode(F.array_except("_dk", "_pk")).alias("key"))
 
 
-def _boundary(found: DataFrame, rounds: list[tuple[DataFrame, DataFrame]], labels: DataFrame,
+def _boundary(found: DataFrame, rounds: list[Round], labels: DataFrame,
               sets: DataFrame) -> DataFrame:
     """p, doc: pairs of a member within t of a pivot and one between t and 2t of it that may link and are not
     in one component already.
@@ -267,16 +287,23 @@ def _boundary(found: DataFrame, rounds: list[tuple[DataFrame, DataFrame]], label
     near = written(found.filter("linked").select("p", "doc", "size", p_size).distinct(),
                    "jaccard-near")
     inner = near.groupBy("p").agg(F.min("size").alias("least"))
-    # members whose sizes allow no link to the pivot may still have one to what links to it
+    of_pivot = labels.select(F.col("doc").alias("p"), F.col("label").alias("_lp"))
+    # members that were not measured as they cannot link to the pivot may still link to what links to it
     smaller, larger = F.least("size", "p_size"), F.greatest("size", "p_size")
+    fewest = _common(F.col("size"), F.greatest("least", _need(F.col("size"))))
     wide = reduce(DataFrame.unionByName, [
-        members.join(pivots.join(inner, "p", "left_semi"), "key").filter(
-            (100 * smaller < LINK * larger) & (100 * 100 * smaller >= LINK * LINK * larger))
+        members.join(pivots.join(inside.groupBy("key", "p").agg(
+            F.min("size").alias("least"), F.min(F.when(F.col("low"), F.col("size"))).alias("least_low"),
+            F.max("met").alias("most_met")), ["key", "p"]), "key")
+        .filter("doc <> p").filter(~_may_link()).filter(
+            (100 * 100 * smaller >= LINK * LINK * larger) & (F.least("met", "most_met") >= fewest)
+            & (F.col("low") | (F.col("least_low") < F.col("size"))))
         .select("p", "doc")
-        for members, pivots in rounds])
+        for members, pivots, inside in rounds]).distinct()
+    wide = wide.join(found.select("p", "doc").distinct(), ["p", "doc"], "left_anti").join(labels, "doc").join(
+        of_pivot, "p").filter("label <> _lp").select("p", "doc")
     apart = found.filter("not linked").join(inner, "p", "left_semi").unionByName(
         _within_2t(wide, sets)).select("p", "doc", "size", "inter").distinct()
-    of_pivot = labels.select(F.col("doc").alias("p"), F.col("label").alias("_lp"))
     mid = apart.join(labels, "doc").join(of_pivot, "p").filter("label <> _lp").join(inner, "p")
     lack = _common(F.col("size"), F.greatest("least", _need(F.col("size")))) - F.col("inter")
     mid = written(mid.select("p", "doc", "size", "inter", F.greatest(lack, F.lit(1)).alias("lack")),
