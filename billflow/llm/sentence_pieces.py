@@ -17,10 +17,13 @@ back unless it holds the mark itself (U+2581), which reads as a blank. Empty tab
 
 from __future__ import annotations
 
+import hashlib
 import re
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import islice
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ from billflow.llm.arrays import pieces
 MARK = "▁"  # fixed value: the blank in vocabulary files
 BATCH = 3 << 19  # bytes of text whose words are sorted together
 PAIRS = 200_000  # how many decisions on neighbours are kept
-KEPT = 60_000  # how many words are kept with their ids from batch to batch
+KEPT = 200_000  # how many words are kept with their ids from batch to batch; as many that were met before them
 SHORT = 32  # characters of a word that is kept
 
 
@@ -48,7 +51,8 @@ class Vocabulary:
     cut_line: bool = False
     _apart: dict = field(default_factory=dict)
     _whole: dict = field(default_factory=dict)
-    _words: dict = field(default_factory=dict)
+    _words: dict = field(default_factory=dict)  # ids of words as bytes
+    _older: dict = field(default_factory=dict)  # those of words met before, until `_words` is full again
     _tails: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -188,27 +192,32 @@ def encode_words(vocabulary: Vocabulary, words: list[str]) -> dict[str, list[int
     return out
 
 
+def _ids_of(vocabulary: Vocabulary, words: list[str]) -> list[bytes]:
+    """Ids of distinct words as 32-bit numbers. Words are kept until so many were met twice over without them."""
+    kept, older = vocabulary._words, vocabulary._older
+    ids = list(map(kept.get, words))
+    again = {w: older[w] for w, x in zip(words, ids) if x is None and w in older}
+    fresh = {w: array("i", x).tobytes() for w, x in encode_words(
+        vocabulary, [w for w, x in zip(words, ids) if x is None and w not in again]).items()}
+    if len(kept) + len(again) + len(fresh) > KEPT:
+        vocabulary._older = kept
+        kept = vocabulary._words = {}
+    kept.update(again)
+    kept.update(islice(((w, x) for w, x in fresh.items() if len(w) <= SHORT), KEPT))
+    return [x or fresh.get(w) or again[w] for w, x in zip(words, ids)]
+
+
 def encode_texts(vocabulary: Vocabulary, texts: list[str | None]) -> pa.Array:
     """A list of ids for each text; null for null."""
     find = marked_words(vocabulary).findall
     split = [find(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-    distinct: set[str] = set()
-    for words in split:
-        distinct.update(words)
-    kept = vocabulary._words
-    ids = {w: kept[w] for w in distinct if w in kept}
-    fresh = encode_words(vocabulary, [w for w in distinct if w not in kept])
-    ids.update(fresh)
-    if len(kept) + len(fresh) > KEPT:
-        kept.clear()
-    kept.update(islice(((w, x) for w, x in fresh.items() if len(w) <= SHORT), KEPT))
-    number = {w: k for k, w in enumerate(ids)}
-    sizes = np.fromiter(map(len, ids.values()), dtype=np.int64, count=len(ids))
-    flat = np.fromiter((i for x in ids.values() for i in x), dtype=np.int32, count=sizes.sum())
-    starts = np.cumsum(sizes) - sizes
-    get = number.__getitem__
-    used = np.fromiter((k for words in split for k in map(get, words)), dtype=np.int64,
+    number: defaultdict[str, int] = defaultdict(count().__next__)
+    used = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), dtype=np.int64,
                        count=sum(map(len, split)))
+    ids = _ids_of(vocabulary, list(number))
+    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+    flat = np.frombuffer(b"".join(ids), dtype=np.int32)
+    starts = np.cumsum(sizes) - sizes
     n = sizes[used]
     place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[used], n)
     of = np.repeat(np.arange(len(texts)), [len(w) for w in split])
@@ -253,12 +262,27 @@ def decode_lists(vocabulary: Vocabulary, ids: pa.ListArray) -> pa.Array:
                     pa.string())
 
 
+_at_work: dict[str, Vocabulary] = {}
+
+
+def _known_here(key: str, vocabulary: Vocabulary) -> Vocabulary:
+    """The same vocabulary with the words and decisions that earlier tasks of this process came to know."""
+    if key not in _at_work:
+        _at_work.clear()
+        _at_work[key] = vocabulary
+    return _at_work[key]
+
+
 def encode_decode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """doc_id, ids, n_pieces and, read back from the ids, the decoded text of each row."""
+    key = hashlib.sha256(repr((vocabulary.pieces, vocabulary.scores, vocabulary.bytes, vocabulary.unknown,
+                               vocabulary.unigram, vocabulary.ids)).encode()).hexdigest()
+
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _known_here(key, vocabulary)
         for batch in pieces(batches, size=BATCH):
-            ids = encode_texts(vocabulary, batch.column("text").to_pylist())
-            decoded = decode_lists(vocabulary, ids)
+            ids = encode_texts(known, batch.column("text").to_pylist())
+            decoded = decode_lists(known, ids)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), ids, ids.value_lengths().cast(pa.int64()), decoded],
                 names=["doc_id", "ids", "n_pieces", "decoded"])

@@ -1,10 +1,12 @@
 """Operators where groups are large: no more work than the rows need, and the same results."""
 
+import pickle
 import random
 
 import pytest
 
-from billflow.llm import jaccard_join
+from billflow.llm import jaccard_join, sentence_pieces
+from billflow.llm.queries import piece_vocabulary
 
 WORDS = 5
 
@@ -57,3 +59,26 @@ def test_jaccard_join_of_members_far_apart(spark, monkeypatch, edits, cut):
     assert got == _components(texts)
     if not cut:  # all sizes alike: nearly all share too little with the others for any link
         assert sum(counted) < 3 * len(texts)
+
+
+def test_frequent_words_are_encoded_once(monkeypatch):
+    """Words of every batch stay known, however many others come and go, in later tasks of a process, too."""
+    import public_tokenizers
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    monkeypatch.setattr(sentence_pieces, "KEPT", 100)
+    asked, encode = [], sentence_pieces.encode_words
+
+    def encode_words(vocabulary, words):
+        asked.extend(words)
+        return encode(vocabulary, words)
+    monkeypatch.setattr(sentence_pieces, "encode_words", encode_words)
+    vocabulary, often = piece_vocabulary(), [f"often{k}" for k in range(20)]
+    for batch in range(10):
+        texts = [" ".join(often + [f"seldom{batch}x{k}" for k in range(60)]), None, ""]
+        got = sentence_pieces.encode_texts(vocabulary, texts).to_pylist()
+        assert got == [library.encode(texts[0]), None, []]
+    assert len(asked) == len(set(asked)) == 20 + 10 * 60
+    assert len(vocabulary._words) <= 100 and len(vocabulary._older) <= 100
+    known = sentence_pieces._known_here("one", vocabulary)
+    assert sentence_pieces._known_here("one", pickle.loads(pickle.dumps(vocabulary))) is known
