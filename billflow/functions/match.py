@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from billflow.functions.lets import let
 from billflow.functions.numbers import js_number_text, prefix_number
 from billflow.functions.text import GSTIN, ISO_DATE
 from billflow.schemas import AMOUNT_FIELDS
@@ -52,14 +53,18 @@ def match_gstin(extracted: Column, truth: Column) -> Column:
 
 def match_float(extracted: Column, truth: Column) -> Column:
     """Prefix-parsed number, equal to the truth when both print the same with 2 decimals."""
-    number = prefix_number(extracted)
-    same = F.coalesce(F.format_number(number, 2) == F.format_number(truth, 2), F.lit(False))
-    details = (
-        F.when(number.isNull(), BAD_NUMBER)
-        .when(same, "Exact float match")
-        .otherwise(F.concat(F.lit("Mismatch: expected "), js_number_text(truth),
-                            F.lit(", got "), js_number_text(number))))
-    return result(same, details)
+    def compared(number: Column, same: Column) -> Column:
+        return result(same, F.when(number.isNull(), BAD_NUMBER)
+                      .when(same, "Exact float match")
+                      .otherwise(F.concat(F.lit("Mismatch: expected "), let(truth, js_number_text),
+                                          F.lit(", got "), let(number, js_number_text))))
+
+    def printed_alike(number: Column) -> Column:
+        # Equal numbers print the same, but for zeros of either sign.
+        return F.when((number == truth) & (number != 0), True).otherwise(F.coalesce(
+            F.format_number(number, 2) == F.format_number(truth, 2), F.lit(False)))
+    return let(prefix_number(extracted), lambda number: let(
+        printed_alike(number), lambda same: compared(number, same)))
 
 
 def match_invoice_number(extracted: Column, truth: Column,

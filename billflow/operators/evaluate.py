@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from billflow.functions import match as M
+from billflow.functions.lets import let
 from billflow.functions.text import bill_sequence
 from billflow.functions.variants import parse_json
 from billflow.operators.once import computed_once
@@ -115,8 +116,8 @@ def correct_flags(scored: DataFrame, matcher: str = "lenient") -> dict[str, Colu
     failed = F.col("error").isNotNull() | F.col("extracted").isNull()
 
     def flag(field: str) -> Column:
-        lenient = M.match_field_lenient(
-            F.col(f"extracted.{field}"), truth_text(field), field)
+        pair = F.struct(F.col(f"extracted.{field}").alias("e"), truth_text(field).alias("t"))
+        lenient = let(pair, lambda p: M.match_field_lenient(p["e"], p["t"], field))
         if matcher == "lenient":
             return F.when(failed, False).otherwise(lenient)
         return M.field_correct(F.col(f"evaluation.field_breakdown.{field}"), failed, lenient)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from billflow.functions import variants as V
+from billflow.functions.lets import let
 from billflow.functions.numbers import prefix_number
 from billflow.schemas import FIELDS, TRUTH
 from billflow.sources.members import JsonMembers
@@ -87,6 +88,6 @@ def open_fields(doc: Column) -> Column:
 
 def extracted_fields(opened: Column) -> Column:
     """The six scored fields as text, plus whether the invoice number was a text."""
-    return F.struct(*[V.js_text(opened[f]).alias(f) for f in FIELDS],
-                    (V.kind(opened["invoice_number"]) == "STRING")
-                    .alias("invoice_number_is_text"))
+    return let(opened, lambda record: F.struct(
+        *[V.js_text(record[f]).alias(f) for f in FIELDS],
+        (V.kind(record["invoice_number"]) == "STRING").alias("invoice_number_is_text")))
