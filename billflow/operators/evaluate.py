@@ -14,6 +14,7 @@ from billflow.operators.once import computed_once
 from billflow.operators.vendor_match import match_vendors
 from billflow.schemas import FIELDS, TRUTH
 from billflow.sources.payloads import extracted_fields, open_fields
+from billflow.workspace import written
 
 
 NO_OUTPUT = "model gave no output"
@@ -135,11 +136,22 @@ def truth_text(field: str) -> Column:
 
 def result_grid(attempts: DataFrame, models: Sequence[str],
                 fields: Sequence[str] = tuple(FIELDS)) -> DataFrame:
-    """Every bill with a result x model x field; a missing model output stays as a null row."""
-    files = attempts.select("file").distinct()
-    cells = files.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
-    with_attempts = cells.join(attempts, ["file", "model"], "left")
-    return with_attempts.withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields])))
+    """Every bill with a result x model x field; a missing model output stays as a null row.
+
+    The attempts are computed once, into the shared folder, and never shuffled: only a bill's name and which models
+    answered it are, merged before.
+    """
+    stored, file = written(attempts, "attempts"), F.col("file")
+    wanted = F.explode(F.array(*[F.lit(m) for m in models]))
+    answered = stored.groupBy("file").agg(*[
+        F.coalesce(F.max(F.col("model") == m), F.lit(False)).alias(str(i)) for i, m in enumerate(models)])
+    silent = answered.select("file", F.explode(F.array_compact(F.array(*[
+        F.when(file.isNull() | ~F.col(str(i)), m) for i, m in enumerate(models)]))).alias("model"))
+    given = stored.where(file.isNotNull()).join(
+        F.broadcast(stored.sparkSession.range(1).select(wanted.alias("model"))), "model")
+    more = [c for c in attempts.columns if c not in ("file", "model")]
+    cells = given.select("file", "model", *more).unionByName(silent, allowMissingColumns=True)
+    return cells.withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields])))
 
 
 def field_unpivot(records: DataFrame, ids: Sequence[str],

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from billflow.functions.lets import let
 from billflow.functions.match import match_float
-from billflow.operators.evaluate import cells_of, evaluate, parse_attempts
+from billflow.operators.evaluate import cells_of, evaluate, parse_attempts, result_grid
 from billflow.schemas import TRUTH
 
 JIT_LIMIT = 8000  # bytes; the JVM interprets a longer method for ever
@@ -59,3 +59,24 @@ def test_let_names_a_value_and_keeps_null(spark):
     df = spark.createDataFrame([(1,), (None,)], "v int")
     got = [r[0] for r in df.select(let(F.col("v") + 1, lambda x: F.coalesce(x * x, F.lit(-1)))).collect()]
     assert got == [4, -1]
+
+
+def test_grid_computes_attempts_once_and_shuffles_only_names(spark):
+    rows = [("a", "m", "x"), ("a", "m", "y"), ("a", "other", "z"), ("b", "n", None), (None, "m", "w"), ("c", None, "v")]
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(text):
+        seen.add(1)
+        return text
+
+    attempts = spark.createDataFrame(rows, "file string, model string, error string").withColumn(
+        "extracted", noted("error"))
+    grid = result_grid(attempts, ["m", "n"], ["f", "g"])
+    assert grid.columns == ["file", "model", "error", "extracted", "field"]
+    got = sorted((tuple(r) for r in grid.where("field = 'f'").drop("error", "field").collect()), key=repr)
+    want = [("a", "m", "x"), ("a", "m", "y"), ("a", "n", None), ("b", "m", None), ("b", "n", None), (None, "m", None),
+            (None, "n", None), ("c", "m", None), ("c", "n", None)]
+    assert got == sorted(want, key=repr)
+    assert grid.where("field = 'g'").count() == len(want)
+    assert seen.value == len(rows)
