@@ -119,6 +119,20 @@ def test_pace_is_kept(spark, tmp_path):
             assert sum(1 for u in times[:i + 1] if t - u < 700) <= 3  # a burst and one more
 
 
+def test_requests_that_fill_their_last_frame(spark, tmp_path, monkeypatch):
+    """A frame without requests goes out after the last full one; its columns must be texts, too."""
+    monkeypatch.setattr(state.TokenBucket, "CHUNK", 10)
+    monkeypatch.setattr(state.TokenBucket, "GIVEN", 20)
+    requests = spark.range(80).selectExpr("'m' AS model", "concat('r', id) AS request")
+    arrive(requests.coalesce(1), str(tmp_path / "in"))
+    stream = ingest.document_stream(spark, str(tmp_path / "in"), "model string, request string")
+    paced = state.stream_paced(stream, 0.01, burst=40)
+    out = str(tmp_path / "out")
+    query = ingest.run_to_table(paced, out, str(tmp_path / "c"), pace="0 seconds")
+    rows = ingest.wait_for_rows(query, out, paced.schema, 80, seconds=60).collect()
+    assert sorted(r.request for r in rows) == sorted(f"r{i}" for i in range(80))
+
+
 def counted(processor, folder):
     """The processor, which leaves a file in the folder for each group it is called for."""
     handle = processor.handleInputRows
