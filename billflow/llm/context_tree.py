@@ -89,6 +89,13 @@ def _features(table: pa.Table) -> Iterator[tuple]:
                np.searchsorted(of, np.arange(batch.num_rows + 1)))
 
 
+def _dealt(key: np.ndarray, count: np.ndarray, to: np.ndarray, n_buckets: int
+           ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted keys and their counts by bucket, sorted in each, and where each bucket's begin."""
+    order = np.argsort(to, kind="stable")
+    return key[order], count[order], np.searchsorted(to[order], np.arange(n_buckets + 1))
+
+
 def _request(n_buckets: int):
     def request(table: pa.Table) -> pa.Table:
         sides: list[list] = [[], [], [], []]
@@ -100,16 +107,17 @@ def _request(n_buckets: int):
                 sides[2 * k + 1].append(np.bincount(at, np.repeat(trains, np.diff(edge)), len(one)))
         key, key_n = _summed(*sides[:2])
         word, word_n = _summed(*sides[2:])
-        key_to, word_to = _bucket(key, n_buckets), word % np.uint64(n_buckets)
+        (key, key_n, mine), (word, word_n, yours) = (
+            _dealt(key, key_n, _bucket(key, n_buckets), n_buckets),
+            _dealt(word, word_n, word % np.uint64(n_buckets), n_buckets))
         block = table.column("block")[0].as_py()
         rows = []
-        for b in range(n_buckets):
-            mine, yours = key_to == b, word_to == b
-            if mine.any() or yours.any():
-                rows.append((b, block, _pack(np.diff(key[mine], prepend=np.uint64(0))),
-                             _pack(key_n[mine].astype(np.uint32)),
-                             _pack(np.diff(word[yours], prepend=np.uint64(0))),
-                             _pack(word_n[yours].astype(np.uint32))))
+        for b in np.flatnonzero(np.diff(mine) + np.diff(yours)).tolist():
+            k, w = slice(*mine[b:b + 2]), slice(*yours[b:b + 2])
+            rows.append((b, block, _pack(np.diff(key[k], prepend=np.uint64(0))),
+                         _pack(key_n[k].astype(np.uint32)),
+                         _pack(np.diff(word[w], prepend=np.uint64(0))),
+                         _pack(word_n[w].astype(np.uint32))))
         names = ["bucket", "block", *(c.split()[0] for c in _PAYLOAD.split(", "))]
         kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -180,14 +188,16 @@ class Subtrees:
 
 
 def _top(table: pa.Table) -> pa.Table:
-    """What the two top levels need of this bucket, and the words' part of N and V (byte -1)."""
+    """What the two top levels need of this bucket, and the words' part of N and V (byte -1).
+
+    A bucket may hold words only: sums over no strings count as whole numbers and are made floats."""
     keys, counts, some, times = _read(table)
     tree = Subtrees(*_summed(keys, counts))
     _, n = _summed(some, times)
     place = (tree.names >> np.uint64(BITS + 8)).astype(np.int64) << BITS | \
         (tree.names & np.uint64((1 << BITS) - 1)).astype(np.int64)
     name, at = np.unique(place, return_inverse=True)
-    sums = [np.bincount(at, x, len(name)) for x in (tree.zeros, tree.ones, tree.log)]
+    sums = [np.bincount(at, x, len(name)).astype(float) for x in (tree.zeros, tree.ones, tree.log)]
     return pa.table({
         "byte": np.append(name >> BITS, -1), "node": np.append(name & ((1 << BITS) - 1), 0),
         "zeros": np.append(sums[0], n.sum()), "ones": np.append(sums[1], (n > 0).sum()),
