@@ -29,8 +29,10 @@ def stream_ingest(documents: DataFrame, store: StagingStore, checkpoint: str,
     writer = f"stream {checkpoint}"
 
     def load(batch: DataFrame, number: int) -> None:
-        # a file is often one split: its documents are validated by all cores, not by one for each file
-        spread = batch.repartition(batch.sparkSession.sparkContext.defaultParallelism)
+        # a file is often one split: its documents are validated by all cores, not by one for each file; a batch
+        # of many splits is not moved
+        cores = batch.sparkSession.sparkContext.defaultParallelism
+        spread = batch.repartition(cores) if batch.rdd.getNumPartitions() < cores else batch
         store.load(spread, number, writer=writer)
 
     return (documents.writeStream.foreachBatch(load)
