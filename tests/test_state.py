@@ -279,3 +279,40 @@ def test_documents_of_one_file_are_loaded_by_many_tasks(spark, tmp_path):
     stream, store = ingest.document_stream(spark, str(tmp_path / "in"), DDL, files_per_batch=1), Store()
     ingest.stream_ingest(stream, store, str(tmp_path / "checkpoint")).awaitTermination()
     assert store.tasks > 1
+
+
+def test_last_attempts_take_few_calls_of_the_state_and_lose_none():
+    """Bills share entries of the state; counts are those of the last attempts whatever the batches."""
+    handle, last, sums, bills = Handle(), {}, {}, 0
+    names = [f"bill_{i}" for i in range(2000)] + [None]
+    for number, batch in enumerate((names[:1], names[:300], names[250:], names[3:9], names)):
+        processor = state.LastAttempts(("a", "b"))
+        processor.init(handle)
+        rows = [(f, m, 4 * ((number * 7 + i) % 3) + (i + number) % 4) for i, f in enumerate(batch) for m in ("m", "n")]
+        handle.calls = 0
+        told = pd.concat(processor.handleInputRows((2,), iter([
+            pd.DataFrame(rows[::2], columns=["file", "model", "rank"]),
+            pd.DataFrame(rows[1::2], columns=["file", "model", "rank"])]), None))
+        if len(batch) > 200:
+            assert handle.calls < len(batch) / 4
+        for f, m, rank in rows:
+            last[f, m] = max(rank, last.get((f, m), -1))
+        for model, field, correct, new in told.itertuples(index=False):
+            bills += new
+            if model is not None:
+                sums[model, field] = sums.get((model, field), 0) + correct
+    assert bills == len(names)
+    assert sums == {(m, f): sum(r >> bit & 1 for (_, of), r in last.items() if of == m)
+                    for m in ("m", "n") for bit, f in ((1, "a"), (0, "b"))}
+
+
+def test_a_stream_leaves_no_shuffle_files(spark, tmp_path):
+    from tests.test_workspace import shuffle_files
+    before = shuffle_files(spark, 500)
+    documents = spark.createDataFrame([(f"{i}.jpg", i, json.dumps({**GOOD, "total_amount": float(i)}))
+                                       for i in range(300)], DDL)
+    documents.write.parquet(str(tmp_path / "in"))
+    ingested = state.StatefulIngest(spark, str(tmp_path / "stateful"), buckets=3)
+    ingested.start(ingest.document_stream(spark, str(tmp_path / "in"), DDL), str(tmp_path / "c")).awaitTermination()
+    assert shuffle_files(spark, 500) <= before
+    assert ingested.invoices().count() == 300
